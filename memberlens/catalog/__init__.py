@@ -1,6 +1,6 @@
 """Importing the catalog registers every query."""
 
-from . import panel_queries  # noqa: F401
+from . import analytics_queries, panel_queries  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

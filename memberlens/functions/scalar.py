@@ -127,3 +127,13 @@ def inv_norm_cdf(p) -> Column:
     r = q * q
     mid = poly(a, r) * q / (poly(b, r) * r + 1)
     return F.when(p < lo, low).when(p > 1 - lo, high).otherwise(mid)
+
+
+def with_scalars(df, onerow, name: str = "_s"):
+    """Attach a 1-row aggregate to every row as a scalar subquery.
+
+    The aggregate runs once and is inlined as a value: no join, no shuffle of
+    ``df``, and a proven size bound (one row) by construction.  Fields are
+    read as ``F.col("_s.<field>")``.
+    """
+    return df.withColumn(name, onerow.select(F.struct(*onerow.columns)).scalar())
