@@ -137,3 +137,11 @@ def with_scalars(df, onerow, name: str = "_s"):
     read as ``F.col("_s.<field>")``.
     """
     return df.withColumn(name, onerow.select(F.struct(*onerow.columns)).scalar())
+
+
+def round_sig(c, digits: int) -> Column:
+    """Round to ``digits`` significant digits (for scores spanning 1e-10..1e10)."""
+    x = col_(c)
+    e = F.floor(F.log10(F.abs(x)))
+    scaled = F.round(x / F.pow(F.lit(10.0), e), digits - 1) * F.pow(F.lit(10.0), e)
+    return F.when(x == 0, x).otherwise(scaled)
