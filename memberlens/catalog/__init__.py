@@ -1,6 +1,6 @@
 """Importing the catalog registers every query."""
 
-from . import analytics_queries, ml_queries, monitoring_queries, panel_queries  # noqa: F401
+from . import analytics_queries, ledger_queries, ml_queries, monitoring_queries, panel_queries  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
