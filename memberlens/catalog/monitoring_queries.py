@@ -188,8 +188,8 @@ st AS (""" + "\nUNION ALL\n".join(
     for c in _DRIFT_FEATS) + f"""),
 dr AS (
   SELECT st.period, st.feature, st.cur_mean, st.cur_std,
-         COALESCE(ROUND(LEAST(1.0, (abs(cur_mean - ref_mean) / (ref_std + 1e-9) * 0.6
-                                   + abs(cur_std - ref_std) / (ref_std + 1e-9) * 0.4) / 3.0), 4), 0.0) AS drift_score
+         CASE WHEN ref.feature IS NULL THEN 0.0 ELSE ROUND(LEAST(1.0, (abs(cur_mean - ref_mean) / (ref_std + 1e-9) * 0.6
+                                   + abs(cur_std - ref_std) / (ref_std + 1e-9) * 0.4) / 3.0), 4) END AS drift_score
   FROM st LEFT JOIN {_REF_SQL} ON st.feature = ref.feature)"""
 _DRIFT_CTE = FEATURES_CTE + "," + _DRIFT_PARTS
 

@@ -245,7 +245,9 @@ def drift_score(stats: DataFrame, ref: DataFrame) -> DataFrame:
     j = stats.join(F.broadcast(ref), "feature", "left")
     ms = F.abs(F.col("cur_mean") - F.col("ref_mean")) / (F.col("ref_std") + 1e-9)
     ss = F.abs(F.col("cur_std") - F.col("ref_std")) / (F.col("ref_std") + 1e-9)
-    score = F.coalesce(F.round(F.least(F.lit(1.0), (ms * 0.6 + ss * 0.4) / 3.0), 4), F.lit(0.0))
+    # least() skips NULLs, so an unknown feature must be caught explicitly
+    score = F.when(F.col("ref_mean").isNull(), F.lit(0.0)) \
+             .otherwise(F.round(F.least(F.lit(1.0), (ms * 0.6 + ss * 0.4) / 3.0), 4))
     return (j.withColumn("drift_score", score)
             .withColumn("drift_detected", (F.col("drift_score") > DRIFT_THRESHOLD).cast("int"))
             .withColumn("severe_drift", (F.col("drift_score") > SEVERE_DRIFT).cast("int"))
