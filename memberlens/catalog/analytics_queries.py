@@ -609,4 +609,5 @@ def residual_diagnostics(spark, sf_dir):
     return a.select("n", F.col("sk").alias("skewness"), F.col("ku").alias("kurtosis"),
                     (F.col("n") / 6.0 * (F.col("sk") ** 2 + F.col("ku") ** 2 / 4.0)).alias("jarque_bera"),
                     F.col("rho").alias("corr_pred_resid"),
-                    (F.col("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") ** 2))).alias("t_stat"))
+                    (F.col("rho") * F.sqrt((F.col("n") - 2) / F.nullif(1 - F.col("rho") ** 2, F.lit(0.0))))
+                    .alias("t_stat"))

@@ -3,7 +3,7 @@
 kNN for LOF is exact without emitting all pairs: points are put on a grid of
 cell width r over the leading dimensions; every neighbour within distance r
 lies in an adjacent cell, so a point that finds k candidates within r has its
-exact k nearest neighbours.  Unresolved points retry with 2r.  Isolation
+exact k nearest neighbours.  Unresolved points retry with a 4x radius.  Isolation
 Forest trains each tree on a bounded subsample (<= 256 rows) in one
 ``applyInPandas`` group and scores rows with the broadcast forest.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import with_scalars
+from ..session import cut_lineage
 from .ml import pop_scale
 
 
@@ -68,11 +69,11 @@ def normalise(df: DataFrame, cols: dict[str, bool]) -> DataFrame:
 
 # ----------------------------------------------------------------------- kNN / LOF
 def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, grid_dims: int = 2,
-        max_rounds: int = 30) -> DataFrame:
+        max_rounds: int = 40, growth: float = 4.0) -> DataFrame:
     """Exact k nearest neighbours: (id, nbr, dist, rank) with rank 1..k.
 
     Ties at equal distance are broken by neighbour id.  Each round only
-    handles the still-unresolved points.
+    handles the still-unresolved points; the radius grows by ``growth``.
     """
     d = df.select(F.size(v).alias("d")).first()["d"]
     m = min(grid_dims, d)
@@ -82,7 +83,7 @@ def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, gri
     if total <= k:
         raise ValueError("need more than k points")
     pending = pts
-    done = None
+    parts = []
     if r0 is None:  # spacing of k points in the unit-variance cube
         r0 = 2.0 * math.sqrt(d) * (k / total) ** (1.0 / d)
     r = r0
@@ -99,16 +100,18 @@ def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, gri
         ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
         cnt = ranked.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
         ok = cnt.where(F.col("c") >= k).select("id")
-        got = ranked.join(ok, "id", "left_semi")
-        done = got if done is None else done.unionByName(got)
-        pending = pending.join(ok, "id", "left_anti").cache()
-        if pending.limit(1).count() == 0:
+        # each round is written out (reliable checkpoint): the plan of round
+        # n does not carry rounds 1..n-1, and lost executors recompute one round
+        parts.append(cut_lineage(ranked.join(ok, "id", "left_semi")))
+        pending = cut_lineage(pending.join(ok, "id", "left_anti"))
+        if pending.isEmpty():
             break
-        r *= 2.0
-    out = done.select("id", "nbr", "dist", "rank").cache()
-    out.count()          # materialise before releasing the point cache
+        r *= growth
+    done = parts[0]
+    for p_ in parts[1:]:
+        done = done.unionByName(p_)
     pts.unpersist()
-    return out
+    return done.select("id", "nbr", "dist", "rank")
 
 
 def lof(df: DataFrame, id_col: str, feats: list[str], k: int = 3, contamination: float = 0.15,

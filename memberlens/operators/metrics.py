@@ -47,7 +47,7 @@ def classification_metrics(df: DataFrame, y: str = "label", p: str = "pred") ->
     rec = F.coalesce(F.col("tp") / F.nullif((F.col("tp") + F.col("fn")).cast("double"), F.lit(0.0)), F.lit(0.0))
     return agg.select(
         "n", "tp", "fp", "fn",
-        (F.col("correct") / F.col("n")).alias("accuracy"),
+        (F.col("correct") / F.nullif(F.col("n").cast("double"), F.lit(0.0))).alias("accuracy"),
         prec.alias("precision"), rec.alias("recall"),
         F.coalesce(2 * prec * rec / F.nullif(prec + rec, F.lit(0.0)), F.lit(0.0)).alias("f1"))
 

@@ -347,7 +347,8 @@ def silhouette_sq(df: DataFrame, vec: str, label: str) -> DataFrame:
     others = F.filter("_d", lambda c: c["c"] != F.col(label))
     a = F.when(own["n"] > 1, own["ss"] / (own["n"] - 1))
     b = F.array_min(F.transform(others, lambda c: c["ss"] / c["n"]))
-    s = F.when((own["n"] <= 1) | b.isNull(), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    s = F.when((own["n"] <= 1) | b.isNull(), F.lit(0.0)) \
+         .otherwise(F.coalesce((b - a) / F.nullif(F.greatest(a, b), F.lit(0.0)), F.lit(0.0)))
     return j.select(*df.columns, s.alias("silhouette")).drop("_n2")
 
 
@@ -365,6 +366,6 @@ def davies_bouldin(df: DataFrame, vec: str, label: str) -> DataFrame:
     allc = sc.agg(F.collect_list(F.struct(F.col(label).alias("c"), "s", "mu")).alias("cl"))
     per = with_scalars(sc, allc, "_k")
     r = F.array_max(F.transform(F.filter("_k.cl", lambda o: o["c"] != F.col(label)),
-                                lambda o: (F.col("s") + o["s"]) / dist(F.col("mu"), o["mu"])))
+                                lambda o: (F.col("s") + o["s"]) / F.nullif(dist(F.col("mu"), o["mu"]), F.lit(0.0))))
     return per.select(label, r.alias("r")).agg(F.avg("r").alias("davies_bouldin"),
                                                F.count(F.lit(1)).alias("k"))

@@ -42,11 +42,12 @@ def adf(panel: DataFrame, y: str = "members", unit: str = "unit", period: str =
              .where(F.col("ylag").isNotNull())
     a = d.groupBy(unit).agg(F.regr_count("dy", "ylag").alias("n"), F.regr_sxx("dy", "ylag").alias("sxx"),
                             F.regr_sxy("dy", "ylag").alias("sxy"), F.regr_syy("dy", "ylag").alias("syy"))
-    b = F.col("sxy") / F.col("sxx")
-    ssr = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    se = F.sqrt(ssr / (F.col("n") - 2) / F.col("sxx"))
+    sxx = F.nullif(F.col("sxx"), F.lit(0.0))     # ANSI: never divide by zero
+    b = F.col("sxy") / sxx
+    ssr = F.col("syy") - F.col("sxy") * F.col("sxy") / sxx
+    se = F.sqrt(ssr / F.nullif((F.col("n") - 2).cast("double"), F.lit(0.0)) / sxx)
     ok = (F.col("n") >= min_obs) & (F.col("sxx") > 0) & (ssr > 0)
-    tau = F.when(ok, b / se)
+    tau = F.when(ok, b / F.nullif(se, F.lit(0.0)))
     n = F.col("n").cast("double")
     c5 = ADF_CRIT_C["5%"]
     crit = F.lit(c5[0]) + F.lit(c5[1]) / n + F.lit(c5[2]) / (n * n) + F.lit(c5[3]) / (n * n * n)
@@ -67,7 +68,7 @@ def kpss(panel: DataFrame, y: str = "members", unit: str = "unit", period: str =
                             F.sum(F.col("e") * F.col("e")).alias("ee"))
     n = F.col("n").cast("double")
     ok = (F.col("n") >= min_obs) & (F.col("ee") > 0)
-    stat = F.when(ok, F.col("ss") / (n * n * (F.col("ee") / n)))
+    stat = F.when(ok, F.col("ss") / F.nullif(n * n * (F.col("ee") / n), F.lit(0.0)))
     return a.select(unit, F.col("n").cast("bigint").alias("n"), stat.alias("kpss_stat"),
                     F.when(~ok, F.lit("undetermined")).when(stat <= KPSS_CRIT_5, "stationary")
                     .otherwise("non-stationary").alias("conclusion"))

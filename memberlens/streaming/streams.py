@@ -86,7 +86,11 @@ def run_append(df: DataFrame, tag: str) -> DataFrame:
 
 def request_stream(spark: SparkSession, sf_dir: str, watermark: str = "2 hours") -> DataFrame:
     """Request events as a watermarked stream (same columns as the batch)."""
-    e = table_stream(spark, sf_dir, "events")
+    return requests_from_events(table_stream(spark, sf_dir, "events"), watermark)
+
+
+def requests_from_events(e: DataFrame, watermark: str = "2 hours") -> DataFrame:
+    """The request projection of ``plans.panel.load_requests`` on a stream."""
     k = F.get_json_object("props", "$.k").cast("int")
     s = e.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"),
