@@ -158,12 +158,14 @@ def _epoch_us(ts: str):
 
 
 def active_requests(req: DataFrame, by: str = "endpoint", ts: str = "ts",
-                    lat: str = "latency_s", bucket_s: int = 3600) -> DataFrame:
+                    lat: str = "latency_s", bucket_s: int = 3600, split_s: int = 300) -> DataFrame:
     """Concurrent in-flight requests (+1 at start, -1 at end).
 
     Running sum per endpoint ordered by (time, delta) with ends before starts
-    at equal instants; split by time bucket so a hot endpoint is spread over
-    many tasks.  Returns the peak per (endpoint, bucket).
+    at equal instants.  The running sum is split into ``split_s`` time slices
+    (each slice one window partition, earlier slices added from a per-slice
+    summary) so a hot endpoint is spread over many tasks.  Returns the peak
+    per (endpoint, ``bucket_s`` reporting bucket).
     """
     start = _epoch_us(ts)
     end = start + F.round(F.col(lat) * 1e6).cast("bigint")
@@ -172,9 +174,10 @@ def active_requests(req: DataFrame, by: str = "endpoint", ts: str = "ts",
         F.struct(end.alias("t"), F.lit(-1).alias("delta")))).alias("e"))
     ev = ev.select(by, "e.t", "e.delta",
                    (F.col("t") * 10 + F.col("delta") + 1).alias("_ord"),   # ends (-1) first
-                   F.floor(F.col("t") / (bucket_s * 1_000_000)).alias("_bucket"))
+                   F.floor(F.col("t") / (split_s * 1_000_000)).alias("_bucket"))
     run = prefix_sums(ev, "_ord", ["delta"], partition=[by], bucket="_bucket")
-    return (run.groupBy(by, (F.col("_bucket") * bucket_s).alias("bucket_epoch_s"))
+    report = F.floor(F.col("t") / (bucket_s * 1_000_000)) * bucket_s
+    return (run.groupBy(by, report.alias("bucket_epoch_s"))
             .agg(F.max("cum_delta").alias("peak_active"), F.count(F.lit(1)).alias("n_changes")))
 
 
@@ -199,9 +202,9 @@ def prev_in_series(df: DataFrame, key: list[str], order: str, cols: list[str],
 
 
 def silence_gaps(df: DataFrame, gap_s: float, by: list[str] | None = None, ts: str = "ts",
-                 bucket_s: int = 86400) -> DataFrame:
+                 bucket_s: int = 60) -> DataFrame:
     """Gaps longer than ``gap_s`` between consecutive events ("target
-    down"), per key; two-level lag split by day."""
+    down"), per key; two-level lag split into ``bucket_s`` time slices."""
     key = by or []
     base = df.select(*key, _epoch_us(ts).alias("t_us"),
                      F.floor(_epoch_us(ts) / (bucket_s * 1_000_000)).alias("_bucket"))

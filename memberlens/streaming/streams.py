@@ -175,7 +175,7 @@ def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts
     """L20 (stream): silences longer than ``gap_s`` between consecutive events.
 
     Each micro-batch is processed in ``foreachBatch`` with the batch form
-    (two-level lag split by day) over the batch plus the carried last event
+    (two-level lag split by minute) over the batch plus the carried last event
     time of the previous batches (one value of state, stored next to the
     output so a retried batch recomputes the same result).  Events older than
     the carried time are late and dropped.
@@ -198,7 +198,7 @@ def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts
         if carried is not None:
             ev = ev.where(F.col("t_us") >= F.lit(carried)).unionByName(
                 spark.createDataFrame([(carried,)], "t_us long"))
-        ev = ev.withColumn("_bucket", F.floor(F.col("t_us") / (86400 * 1_000_000)))
+        ev = ev.withColumn("_bucket", F.floor(F.col("t_us") / (60 * 1_000_000)))
         p = prev_in_series(ev, [], "t_us", ["t_us"], "_bucket")
         gap = (F.col("t_us") - F.col("prev_t_us")) / 1e6
         p.where(gap > gap_s).select(
