@@ -145,3 +145,17 @@ def round_sig(c, digits: int) -> Column:
     e = F.floor(F.log10(F.abs(x)))
     scaled = F.round(x / F.pow(F.lit(10.0), e), digits - 1) * F.pow(F.lit(10.0), e)
     return F.when(x == 0, x).otherwise(scaled)
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def epoch_us(c) -> Column:
+    """Microseconds since the epoch of a wall-clock timestamp, independent of
+    the session time zone (a timestamp is first read as wall clock)."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), col_(c).cast("timestamp_ntz"))
+
+
+def from_epoch_us(c) -> Column:
+    """Inverse of ``epoch_us``: a timestamp_ntz, again without a time zone."""
+    return F.timestamp_add("MICROSECOND", col_(c), F.expr(_EPOCH_NTZ))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import with_scalars
+from ..functions.scalar import epoch_us, from_epoch_us, with_scalars
 from .metrics import prefix_sums
 
 # Latency histogram upper bounds (seconds), +Inf implied.
@@ -154,7 +154,7 @@ def error_ratio(req: DataFrame, length: str = "2 hours", slide: str = "1 hour",
 
 
 def _epoch_us(ts: str):
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    return epoch_us(ts)
 
 
 def active_requests(req: DataFrame, by: str = "endpoint", ts: str = "ts",
@@ -211,8 +211,8 @@ def silence_gaps(df: DataFrame, gap_s: float, by: list[str] | None = None, ts: s
     p = prev_in_series(base, key, "t_us", ["t_us"], "_bucket")
     gap = (F.col("t_us") - F.col("prev_t_us")) / 1e6
     return (p.where(gap > gap_s)
-            .select(*key, F.timestamp_micros("prev_t_us").cast("timestamp_ntz").alias("silent_from"),
-                    F.timestamp_micros("t_us").cast("timestamp_ntz").alias("silent_to"),
+            .select(*key, from_epoch_us("prev_t_us").alias("silent_from"),
+                    from_epoch_us("t_us").alias("silent_to"),
                     gap.alias("gap_s")))
 
 
@@ -231,7 +231,7 @@ def freshness(df: DataFrame, ts: str, by: list[str], now_col) -> DataFrame:
     """Seconds since the last update per key, stale > 600 s.  ``now_col``
     is an explicit column (never the wall clock)."""
     last = df.groupBy(*by).agg(F.max(ts).alias("last_ts"))
-    age = (F.unix_micros(now_col.cast("timestamp")) - F.unix_micros(F.col("last_ts").cast("timestamp"))) / 1e6
+    age = (epoch_us(now_col) - epoch_us("last_ts")) / 1e6
     return last.select(*by, "last_ts", age.alias("freshness_s"), (age > 600).cast("int").alias("stale"))
 
 
@@ -295,7 +295,7 @@ def hold(evals: DataFrame, key: list[str], t: str = "eval_time") -> DataFrame:
     e = evals.withColumn("_island", F.sum(F.when(F.col("condition"), 0).otherwise(1)).over(w))
     wi = Window.partitionBy(*key, "_island")
     e = e.withColumn("active_since", F.min(F.when(F.col("condition"), F.col(t))).over(wi))
-    held = (F.unix_micros(F.col(t).cast("timestamp")) - F.unix_micros(F.col("active_since").cast("timestamp"))) / 1e6
+    held = (epoch_us(t) - epoch_us("active_since")) / 1e6
     state = (F.when(~F.col("condition"), F.lit("inactive"))
              .when(held >= F.col("hold_s"), F.lit("firing")).otherwise(F.lit("pending")))
     return e.withColumn("state", state).drop("_island")
@@ -322,7 +322,7 @@ def route_alerts(firing: DataFrame, t: str = "eval_time") -> DataFrame:
         recv = F.when(F.col("severity") == sev, F.lit(r)).otherwise(recv)
         rep = F.when(F.col("severity") == sev, F.lit(s)).otherwise(rep)
     f = firing.withColumn("receiver", recv).withColumn("repeat_s", rep)
-    slot = F.floor(F.unix_micros(F.col(t).cast("timestamp")) / 1e6 / F.col("repeat_s"))
+    slot = F.floor(epoch_us(t) / 1e6 / F.col("repeat_s"))
     f = f.withColumn("_slot", slot)
     return (f.groupBy("alertname", "severity", "receiver", "_slot")
             .agg(F.min(t).alias("notify_time"), F.count(F.lit(1)).alias("n_alerts"),

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.scalar import epoch_us, from_epoch_us
 from ..session import ensure_checkpoint_dir
 
 
@@ -186,7 +187,7 @@ def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts
     out, st, ckpt = (os.path.join(base, p) for p in ("out", "state", "ckpt"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        us = epoch_us(ts)
         ev = batch.select(us.alias("t_us"))
         prev_state = None
         if batch_id > 0:
@@ -202,8 +203,8 @@ def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts
         p = prev_in_series(ev, [], "t_us", ["t_us"], "_bucket")
         gap = (F.col("t_us") - F.col("prev_t_us")) / 1e6
         p.where(gap > gap_s).select(
-            F.timestamp_micros("prev_t_us").cast("timestamp_ntz").alias("silent_from"),
-            F.timestamp_micros("t_us").cast("timestamp_ntz").alias("silent_to"), gap.alias("gap_s")) \
+            from_epoch_us("prev_t_us").alias("silent_from"),
+            from_epoch_us("t_us").alias("silent_to"), gap.alias("gap_s")) \
             .write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
         last = ev.agg(F.max("t_us").alias("t_us"))
         last.write.mode("overwrite").parquet(os.path.join(st, f"batch={batch_id}"))
