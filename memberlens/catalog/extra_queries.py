@@ -387,3 +387,23 @@ def gmm_ic(spark, sf_dir):
 
 
 _unused = (itertools, MQ)
+
+
+@query("gmm_variants")
+def gmm_variants(spark, sf_dir):
+    """Mixtures with full (Spark ML), tied, diagonal and spherical
+    covariance on the scaled unit profile: log-likelihood, BIC, AIC and the
+    number of non-empty clusters."""
+    up = D.unit_profile(load_panel(spark, sf_dir))
+    feats = ["avg_variation__z", "cv_members__z"]
+    z = ML.pop_scale(up, ["avg_variation", "cv_members"], suffix="__z").na.fill(0.0).select("unit", *feats).cache()
+    n = z.count()
+    m, out = ML.gmm(z, feats, 3)
+    full = ML.gmm_ic(m, n, 2)
+    rows = [("full", float(full["log_likelihood"]), float(full["bic"]), float(full["aic"]),
+             out.select("prediction").distinct().count())]
+    for cov in ("tied", "diag", "spherical"):
+        scored, info = ML.gmm_em(z, feats, 3, cov=cov)
+        rows.append((cov, float(info["log_likelihood"]), float(info["bic"]), float(info["aic"]),
+                     scored.select("label").distinct().count()))
+    return spark.createDataFrame(rows, "cov_type string, log_likelihood double, bic double, aic double, n_clusters long")

@@ -212,11 +212,13 @@ def oof_predict(df: DataFrame, estimator, folds) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- J5 / J6
-def logreg_fit(df: DataFrame, feats: list[str], y: str, C: float = 1.0, balanced: bool = True):
+def logreg_train(df: DataFrame, feats: list[str], y: str, C: float = 1.0, balanced: bool = True):
     """L2 logistic regression matching scikit-learn's (C, balanced):
-    population-scaled features, weight n/(2 n_c), regParam 1/(C n)."""
+    population-scaled features, weight n/(2 n_c), regParam 1/(C n).
+    Returns (model, scaler statistics of the training rows)."""
     n = df.count()
-    scaled = pop_scale(df, feats, suffix="__z")
+    stats = pop_stats(df, feats)
+    scaled = pop_scale(df, feats, stats=stats, suffix="__z")
     zc = [c + "__z" for c in feats]
     if balanced:
         cw = df.groupBy(y).agg(F.count(F.lit(1)).alias("_nc"))
@@ -225,11 +227,41 @@ def logreg_fit(df: DataFrame, feats: list[str], y: str, C: float = 1.0, balanced
     else:
         scaled = scaled.withColumn("_w", F.lit(1.0))
     lr = LogisticRegression(featuresCol="features", labelCol=y, weightCol="_w", regParam=1.0 / (C * n),
-                            elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-10)
-    data = assemble(scaled.withColumn(y, F.col(y).cast("double")), zc)
-    model = lr.fit(data)
-    scored = model.transform(data).withColumn("p1", vector_to_array("probability")[1])
-    return model, scored
+                            elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-9)
+    # the optimiser makes one pass per iteration: materialise the training
+    # rows once instead of re-running their plan every pass
+    train = assemble(scaled.withColumn(y, F.col(y).cast("double")), zc).select("features", y, "_w").cache()
+    model = lr.fit(train)
+    train.unpersist()
+    return model, stats
+
+
+def logreg_apply(model, stats: DataFrame, df: DataFrame, feats: list[str]) -> DataFrame:
+    """Score rows with the training scaler; adds p1 and prediction."""
+    scaled = pop_scale(df, feats, stats=stats, suffix="__z")
+    out = model.transform(assemble(scaled, [c + "__z" for c in feats]))
+    return out.withColumn("p1", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability")
+
+
+def logreg_fit(df: DataFrame, feats: list[str], y: str, C: float = 1.0, balanced: bool = True):
+    """Fit and score the training rows."""
+    model, stats = logreg_train(df, feats, y, C, balanced)
+    return model, logreg_apply(model, stats, df, feats)
+
+
+def logreg_oof(df: DataFrame, feats: list[str], y: str, fold_col: str, C: float = 1.0) -> DataFrame:
+    """J23 for the classifier: out-of-fold P(class 1) and class, one fit per
+    fold (scaler and class weights refit inside each fold)."""
+    df = df.cache()                       # every fold re-reads the same rows
+    folds = [r[0] for r in df.select(fold_col).distinct().collect()]   # fold ids: bounded by k
+    parts = []
+    for f in sorted(folds):
+        model, stats = logreg_train(df.where(F.col(fold_col) != f), feats, y, C)
+        parts.append(logreg_apply(model, stats, df.where(F.col(fold_col) == f), feats))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 # ----------------------------------------------------------------------- trees
@@ -369,3 +401,91 @@ def davies_bouldin(df: DataFrame, vec: str, label: str) -> DataFrame:
                                 lambda o: (F.col("s") + o["s"]) / F.nullif(dist(F.col("mu"), o["mu"]), F.lit(0.0))))
     return per.select(label, r.alias("r")).agg(F.avg("r").alias("davies_bouldin"),
                                                F.count(F.lit(1)).alias("k"))
+
+
+# ----------------------------------------------------------------------- J9c
+def gmm_em(df: DataFrame, feats: list[str], k: int, cov: str = "diag", max_iter: int = 200,
+           tol: float = 1e-6, seed: int = 42, reg_covar: float = 1e-6):
+    """Gaussian mixture with 'diag', 'spherical' or 'tied' covariance by
+    EM on sufficient statistics.
+
+    E-step: responsibilities as column expressions (log-sum-exp over k
+    components, the parameters inlined as literals).  M-step: one aggregate
+    of sum r, sum r x, sum r x^2 per component (tied: the global X'X is
+    computed once).  Parameters are k x d numbers; the data never leaves the
+    executors.  Start: k-means labels.  Returns (scored frame with ``proba``
+    and ``label``, info dict with log-likelihood, BIC, AIC, iterations).
+    """
+    if cov not in ("diag", "spherical", "tied"):
+        raise ValueError(cov)
+    d = len(feats)
+    data = df.select("*", *[F.col(c).cast("double").alias(f"_g{i}") for i, c in enumerate(feats)]).cache()
+    xs = [F.col(f"_g{i}") for i in range(d)]
+    n = data.count()
+    km = KMeans(featuresCol="_feat", k=k, seed=seed, maxIter=100).fit(
+        VectorAssembler(inputCols=[f"_g{i}" for i in range(d)], outputCol="_feat").transform(data))
+    mu = np.array([c for c in km.clusterCenters()])
+    tot = data.agg(*[F.sum(xs[a] * xs[b]).alias(f"s{a}_{b}") for a in range(d) for b in range(d)],
+                   *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(xs)]).first()
+    xtx = np.array([[tot[f"s{a}_{b}"] for b in range(d)] for a in range(d)])
+    var = np.tile([max(tot[f"v{i}"] or 0.0, reg_covar) for i in range(d)], (k, 1))
+    shared = np.diag(var[0])
+    w = np.full(k, 1.0 / k)
+    prev_ll = None
+    it = 0
+
+    def log_dens():
+        comps = []
+        for j in range(k):
+            if cov == "tied":
+                prec = np.linalg.inv(shared)
+                quad = F.lit(0.0)
+                for a in range(d):
+                    for b in range(d):
+                        quad = quad + F.lit(float(prec[a, b])) * (xs[a] - float(mu[j, a])) * (xs[b] - float(mu[j, b]))
+                logdet = float(np.linalg.slogdet(shared)[1])
+            else:
+                v = var[j] if cov == "diag" else np.full(d, var[j].mean())
+                quad = F.lit(0.0)
+                for a in range(d):
+                    quad = quad + (xs[a] - float(mu[j, a])) * (xs[a] - float(mu[j, a])) / float(v[a])
+                logdet = float(np.sum(np.log(v)))
+            comps.append(F.lit(float(np.log(w[j]) - 0.5 * (d * np.log(2 * np.pi) + logdet))) - 0.5 * quad)
+        m = F.greatest(*comps) if k > 1 else comps[0]
+        lse = m + F.log(sum((F.exp(c - m) for c in comps[1:]), F.exp(comps[0] - m)))
+        return comps, lse
+
+    for it in range(1, max_iter + 1):
+        comps, lse = log_dens()
+        resp = [F.exp(c - lse) for c in comps]
+        aggs = [F.sum(lse).alias("ll")]
+        for j in range(k):
+            aggs.append(F.sum(resp[j]).alias(f"n{j}"))
+            aggs += [F.sum(resp[j] * xs[a]).alias(f"m{j}_{a}") for a in range(d)]
+            if cov != "tied":
+                aggs += [F.sum(resp[j] * xs[a] * xs[a]).alias(f"q{j}_{a}") for a in range(d)]
+        r = data.agg(*aggs).first()
+        nk = np.array([max(r[f"n{j}"], 1e-12) for j in range(k)])
+        mu = np.array([[r[f"m{j}_{a}"] / nk[j] for a in range(d)] for j in range(k)])
+        w = nk / n
+        if cov == "tied":
+            shared = (xtx - sum(nk[j] * np.outer(mu[j], mu[j]) for j in range(k))) / n + reg_covar * np.eye(d)
+        else:
+            var = np.array([[max(r[f"q{j}_{a}"] / nk[j] - mu[j, a] ** 2, 0.0) + reg_covar for a in range(d)]
+                            for j in range(k)])
+            if cov == "spherical":
+                var = np.repeat(var.mean(axis=1, keepdims=True), d, axis=1)
+        ll = r["ll"]
+        if prev_ll is not None and abs(ll - prev_ll) < tol * max(1.0, abs(ll)):
+            break
+        prev_ll = ll
+    comps, lse = log_dens()
+    probs = F.array(*[F.exp(c - lse) for c in comps])
+    scored = data.select(*df.columns, probs.alias("proba")) \
+                 .withColumn("label", F.expr("array_position(proba, array_max(proba)) - 1").cast("int"))
+    ll = data.agg(F.sum(lse).alias("ll")).first()["ll"]
+    cov_params = {"diag": k * d, "spherical": k, "tied": d * (d + 1) / 2}[cov]
+    p = k * d + cov_params + k - 1
+    info = {"cov": cov, "k": k, "iterations": it, "log_likelihood": ll,
+            "bic": -2 * ll + p * np.log(n), "aic": -2 * ll + 2 * p}
+    return scored, info

@@ -188,3 +188,30 @@ def test_histogram_quantile_promql_rules(spark):
     assert q["p50"] == pytest.approx(0.25 + 0.25 * (5 - 4) / (6 - 4))
     # rank 9.9 lands in +Inf: last finite bound
     assert q["p99"] == pytest.approx(10.0)
+
+
+def test_logreg_loo_matches_published_metrics(fixture_panel):
+    f = _regression_frame(fixture_panel).withColumn("dropout_risk", (F.col("leak_rate") > 30).cast("int")) \
+        .withColumn("fold", (F.col("unit") * 10000 + F.col("period")).cast("long"))
+    oof = ML.logreg_oof(f, REG_FEATS, "dropout_risk", "fold", C=0.001)
+    scored = oof.select(F.col("dropout_risk").alias("label"), F.col("prediction").cast("int").alias("pred"),
+                        F.col("p1").alias("score")).cache()
+    m = M.classification_metrics(scored).first()
+    assert m["accuracy"] == pytest.approx(0.889, abs=5e-4)
+    assert m["precision"] == pytest.approx(1.0)
+    assert m["recall"] == pytest.approx(0.667, abs=5e-4)
+    assert m["f1"] == pytest.approx(0.8, abs=5e-4)
+    assert M.auc(scored).first()["auc"] == pytest.approx(0.736, abs=5e-4)
+
+
+def test_gmm_em_variants_recover_separated_blobs(spark):
+    rng = np.random.default_rng(0)
+    centres = np.array([[0.0, 0.0], [8.0, 0.0], [0.0, 8.0]])
+    pts = np.vstack([c + rng.normal(0, 0.5, size=(40, 2)) for c in centres])
+    df = spark.createDataFrame([(int(i), float(x), float(y)) for i, (x, y) in enumerate(pts)], "id int, x double, y double")
+    for cov in ("diag", "spherical", "tied"):
+        scored, info = ML.gmm_em(df, ["x", "y"], 3, cov=cov)
+        lab = scored.orderBy("id").toPandas()["label"].to_numpy()
+        groups = [set(lab[i * 40:(i + 1) * 40]) for i in range(3)]
+        assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3, cov
+        assert info["bic"] > 0 and np.isfinite(info["log_likelihood"])
