@@ -61,9 +61,9 @@ def confusion(df: DataFrame, y: str = "label", p: str = "pred", classes=(0, 1))
 
 def class_report(df: DataFrame, y: str = "label", p: str = "pred") -> DataFrame:
     """Per-class precision/recall/F1/support plus macro and weighted rows."""
-    classes = df.select(F.col(y).alias("cls")).union(df.select(F.col(p).alias("cls"))).distinct()
     counts = df.groupBy(y, p).agg(F.count(F.lit(1)).alias("c"))
-    per = (classes.join(counts, (F.col("cls") == F.col(y)) | (F.col("cls") == F.col(p)), "left")
+    # each (actual, predicted) cell counts towards both of its classes: no join
+    per = (counts.select(F.explode(F.array_distinct(F.array(F.col(y), F.col(p)))).alias("cls"), y, p, "c")
            .groupBy("cls")
            .agg(F.sum(F.when((F.col(y) == F.col("cls")) & (F.col(p) == F.col("cls")), F.col("c")).otherwise(0)).alias("tp"),
                 F.sum(F.when(F.col(p) == F.col("cls"), F.col("c")).otherwise(0)).alias("pred_n"),
