@@ -3,7 +3,6 @@ profiles, alert union, forecast actions, Q-Q points, clustering search."""
 
 from __future__ import annotations
 
-import itertools
 
 import numpy as np
 import pandas as pd
@@ -386,7 +385,6 @@ def gmm_ic(spark, sf_dir):
     return spark.createDataFrame(rows, "k int, log_likelihood double, bic double, aic double")
 
 
-_unused = (itertools, MQ)
 
 
 @query("gmm_variants")

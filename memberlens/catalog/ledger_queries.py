@@ -6,7 +6,6 @@ labelled documents (one run per threshold)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..operators import aggregates as D
 from ..operators import ledger as K
@@ -188,4 +187,3 @@ def registry_report(spark, sf_dir):
     return K.registry_report(build_ledger(spark, sf_dir), spark)
 
 
-_unused = Window

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import monitoring as L
-from ..operators import timeseries as TS
 from ..operators import windows as W
 from ..operators.joins import inhibit
 from ..plans.panel import load_panel, load_requests
@@ -427,4 +426,3 @@ def risk_tier(spark, sf_dir):
     return flag.join(an, "unit", "left").select("unit", S.risk_tier("pred_flag", "n_anom").alias("tier"))
 
 
-_unused = TS

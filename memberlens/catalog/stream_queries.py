@@ -10,7 +10,6 @@ from ..operators import monitoring as L
 from ..operators import windows as W
 from ..plans.panel import load_panel, load_requests
 from ..streaming import streams as ST
-from ..sources.tables import read_table
 from . import monitoring_queries as MQ
 from .registry import ORACLE, query
 from .sqlparts import REQUESTS_CTE
@@ -129,4 +128,3 @@ ORACLE_ALIASES = {
 for _s, _b in ORACLE_ALIASES.items():
     ORACLE[_s] = ORACLE[_b]
 
-_unused = (read_table, MQ)

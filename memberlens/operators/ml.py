@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
