@@ -328,17 +328,42 @@ def _silhouette_np(X: np.ndarray, lab: np.ndarray) -> float:
     return float(s.mean())
 
 
+# Largest unit profile shipped to every configuration task.
+MAX_BROADCAST_PROFILE_ROWS = 50_000
+
+
+def _search_spark_ml(spark, up, combos):
+    """Fallback for profiles too large to broadcast: one distributed k-means
+    and squared-Euclidean silhouette per configuration (the loop is over the
+    bounded configuration list, the data stays on the executors)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    z = ML.pop_scale(up, _SEARCH_FEATS).cache()
+    rows = []
+    for r in combos.collect():
+        data = ML.assemble(z, list(r["features"]))
+        for k in (2, 3, 4):
+            pred = KMeans(featuresCol="features", k=k, seed=42).fit(data).transform(data)
+            if pred.select("prediction").distinct().count() < k:
+                continue
+            rows.append((",".join(r["features"]), k, float(ClusteringEvaluator().evaluate(pred))))
+    return spark.createDataFrame(rows, "features string, k int, silhouette double")
+
+
 @query("search_clusterings")
 def search_clusterings(spark, sf_dir):
     """J19 + G4: every 2-3 feature subset of the unit profile x k in 2..4,
-    one task per configuration (``applyInPandas``) with the bounded unit
-    profile broadcast; degenerate labelings skipped; top 15 by Euclidean
-    silhouette."""
+    one task per configuration (``applyInPandas``) with the unit profile
+    broadcast after a size check (Spark ML fallback beyond it); degenerate
+    labelings skipped; top 15 by Euclidean silhouette."""
     up = D.unit_profile(load_panel(spark, sf_dir)).select(*_SEARCH_FEATS).na.fill(0.0)
-    prof = up.toPandas()          # one row per unit: bounded by the unit dimension
+    combos = D.feature_combos(spark, _SEARCH_FEATS, 2, 3)
+    if up.limit(MAX_BROADCAST_PROFILE_ROWS + 1).count() > MAX_BROADCAST_PROFILE_ROWS:
+        res = _search_spark_ml(spark, up, combos)
+        return res.orderBy(F.col("silhouette").desc(), "features", "k").limit(15)
+    prof = up.toPandas()          # size checked above: at most MAX_BROADCAST_PROFILE_ROWS rows
     z = ((prof - prof.mean()) / prof.std(ddof=0).replace(0, 1)).to_numpy()
     bc = spark.sparkContext.broadcast(z)
-    combos = D.feature_combos(spark, _SEARCH_FEATS, 2, 3)
     cfg = combos.select("mask", "features", F.explode(F.array(*[F.lit(k) for k in (2, 3, 4)])).alias("k"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -114,13 +114,17 @@ def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, gri
     return done.select("id", "nbr", "dist", "rank")
 
 
+EXACT_QUANTILE_MAX_ROWS = 5_000_000
+
+
 def lof(df: DataFrame, id_col: str, feats: list[str], k: int = 3, contamination: float = 0.15,
         scale: bool = True) -> DataFrame:
     """Local Outlier Factor (Q12 spec).
 
     lrd = 1 / (mean reach-dist + 1e-10), reach-dist = max(k-dist(o), d);
     lof = mean lrd(o) / lrd(p); flagged when lof > its (1 - contamination)
-    quantile (strict, linear interpolation).
+    quantile (strict, linear interpolation).  The quantile is exact up to
+    ``EXACT_QUANTILE_MAX_ROWS`` points and a fixed-memory sketch beyond.
     """
     base = pop_scale(df, feats, suffix="__z") if scale else df.select("*", *[F.col(c).alias(c + "__z") for c in feats])
     pts = base.select(F.col(id_col), vec([c + "__z" for c in feats]).alias("_v"))
@@ -139,7 +143,10 @@ def lof(df: DataFrame, id_col: str, feats: list[str], k: int = 3, contamination:
     lofv = (nn.join(lrd_n, "nbr").groupBy("id").agg(mean_by_rank("lrd_nbr").alias("m"))
             .join(lrd, "id").select("id", (F.col("m") / F.col("lrd")).alias("lof_score")))
     lofv = lofv.cache()
-    thr = lofv.agg(F.percentile("lof_score", 1.0 - contamination).alias("thr"))
+    q = 1.0 - contamination
+    exact = lofv.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
+    thr = lofv.agg((F.percentile("lof_score", q) if exact
+                    else F.percentile_approx("lof_score", q, 1_000_000)).alias("thr"))
     out = with_scalars(lofv, thr, "_t").select(
         F.col("id").alias(id_col), "lof_score",
         (F.col("lof_score") > F.col("_t.thr")).cast("int").alias("lof_anomaly"))
