@@ -28,6 +28,8 @@ HEADLINE = [
     "zscore_anomaly", "lof", "silhouette", "davies_bouldin", "roc_curve", "auc", "ridge_loo",
     # ledger and streaming forms
     "best_runs", "promote", "stream_request_counts", "stream_alert_hold",
+    # work that grows with the data: one series per customer, one row per order
+    "cust_ar1_forecast", "cust_backtest_metrics", "order_zscore", "order_isolation_forest",
 ]
 
 

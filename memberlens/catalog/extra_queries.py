@@ -22,7 +22,7 @@ from . import ledger_queries as LQ
 from . import monitoring_queries as MQ
 from .analytics_queries import _FC_CTE, _forecasts_long
 from .registry import query
-from .sqlparts import FEATURES_CTE, PANEL_CTE
+from .sqlparts import FEATURES_CTE, PANEL_CTE, sig_sql
 
 # ----------------------------------------------------------------------------- A
 
@@ -430,3 +430,86 @@ def gmm_variants(spark, sf_dir):
         rows.append((cov, float(info["log_likelihood"]), float(info["bic"]), float(info["aic"]),
                      scored.select("label").distinct().count()))
     return spark.createDataFrame(rows, "cov_type string, log_likelihood double, bic double, aic double, n_clusters long")
+
+
+# ----------------------------------------------------------------------------- scale variants
+_CUST_CTE = """
+cp AS (SELECT o_custkey AS unit, CAST(year(o_orderdate) AS INTEGER) AS period, SUM(o_totalprice) AS y
+       FROM orders GROUP BY 1, 2)"""
+
+
+@query("cust_ar1_forecast", doubles=("phi",), sql=f"""
+WITH {_CUST_CTE},
+x AS (SELECT unit, period, y, y - LAG(y) OVER w AS d FROM cp WINDOW w AS (PARTITION BY unit ORDER BY period)),
+x1 AS (SELECT *, LAG(d) OVER (PARTITION BY unit ORDER BY period) AS d1 FROM x),
+a AS (SELECT unit, MAX(period) AS lp, arg_max(y, period) AS y_last, arg_max(d, period) AS d_last,
+             SUM(d * d1) AS sxy, SUM(d1 * d1) AS sxx FROM x1 GROUP BY unit),
+b AS (SELECT *, CASE WHEN sxx > 0 THEN sxy / sxx END AS phi FROM a),
+c AS (SELECT unit, lp + 1 AS period, phi, COALESCE(GREATEST(y_last + phi * d_last, 0.0), y_last) AS forecast,
+             CASE WHEN phi IS NULL THEN 'naive' ELSE 'ar1' END AS method FROM b)
+SELECT unit, period, {sig_sql('phi')} AS phi, {sig_sql('forecast')} AS forecast, method FROM c""")
+def cust_ar1_forecast(spark, sf_dir):
+    """I4 at scale: ARIMA(1,1,0) forecast of every customer's yearly order
+    value (one series per customer; windows partitioned by customer);
+    reported to 10 significant digits."""
+    from ..plans.panel import load_cust_panel
+    f = TS.ar1_forecast(load_cust_panel(spark, sf_dir), y="y")
+    return f.select("unit", "period", S.round_sig("phi", 10).alias("phi"),
+                    S.round_sig("forecast", 10).alias("forecast"), "method")
+
+
+_CBT_SQL = f"""
+WITH {_CUST_CTE},
+bt AS (SELECT unit, y, LAG(y) OVER (PARTITION BY unit ORDER BY period) AS pred FROM cp),
+b AS (SELECT unit % 10 AS shard, y, pred FROM bt WHERE pred IS NOT NULL),
+m AS (
+  SELECT CASE WHEN GROUPING(shard) = 1 THEN 'ALL' ELSE CAST(shard AS VARCHAR) END AS scope,
+         COUNT(*) AS n, AVG(abs(y - pred)) AS mae, AVG((y - pred) * (y - pred)) AS mse,
+         sqrt(AVG((y - pred) * (y - pred))) AS rmse,
+         AVG(abs(y - pred) / greatest(abs(y + 1e-9), 2.220446049250313e-16)) * 100.0 AS mape,
+         CASE WHEN COUNT(*) > 1 THEN 1 - AVG((y - pred) * (y - pred)) / NULLIF(var_pop(y), 0.0) END AS r2
+  FROM b GROUP BY GROUPING SETS ((shard), ()))
+SELECT scope, n, """ + ", ".join(f"{sig_sql(c)} AS {c}" for c in ("mae", "mse", "rmse", "mape", "r2")) + " FROM m"
+
+
+@query("cust_backtest_metrics", sql=_CBT_SQL)
+def cust_backtest_metrics(spark, sf_dir):
+    """E13 + D9 at scale: naive backtest of every customer series, metrics
+    per customer shard (custkey mod 10) and overall (GROUPING SETS); values
+    reported to 10 significant digits (order values reach 1e11)."""
+    from ..plans.panel import load_cust_panel
+    bt = TS.backtest(load_cust_panel(spark, sf_dir), y="y", model="naive")
+    m = D.grouped_metrics(bt.withColumn("shard", F.col("unit") % 10), "y", "pred", "shard")
+    return m.select("scope", "n", *[S.round_sig(c, 10).alias(c) for c in ("mae", "mse", "rmse", "mape", "r2")])
+
+
+_ORDER_FEATS = ["n_lines", "qty", "revenue", "avg_discount"]
+
+
+@query("order_zscore", doubles=("zscore_max",), sql="""
+WITH f AS (SELECT l_orderkey AS id, CAST(COUNT(*) AS DOUBLE) AS n_lines, SUM(l_quantity) AS qty,
+                  SUM(l_extendedprice) AS revenue, AVG(l_discount) AS avg_discount
+           FROM lineitem GROUP BY l_orderkey),
+st AS (SELECT """ + ", ".join(f"AVG({c}) AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1.0 ELSE STDDEV_POP({c}) END AS s_{c}"
+                              for c in _ORDER_FEATS) + """ FROM f)
+SELECT id, greatest(""" + ", ".join(f"abs(({c} - m_{c}) / s_{c})" for c in _ORDER_FEATS) + """) AS zscore_max,
+       CAST(greatest(""" + ", ".join(f"abs(({c} - m_{c}) / s_{c})" for c in _ORDER_FEATS) + """) > 3.0 AS INTEGER) AS zscore_anomaly
+FROM f, st""")
+def order_zscore(spark, sf_dir):
+    """J16 at scale: max |z| over per-order lineitem aggregates (one row per
+    order), flag > 3."""
+    from ..operators import anomaly as A
+    from ..plans.panel import load_order_features
+    return A.zscore(load_order_features(spark, sf_dir), _ORDER_FEATS, thr=3.0) \
+        .select("id", "zscore_max", "zscore_anomaly")
+
+
+@query("order_isolation_forest")
+def order_isolation_forest(spark, sf_dir):
+    """J14 at scale: isolation forest over per-order lineitem aggregates
+    (100 trees of <= 256 sampled orders; every order scored); the flagged
+    count per flag value."""
+    from ..operators import anomaly as A
+    from ..plans.panel import load_order_features
+    iso = A.isolation_forest(load_order_features(spark, sf_dir), "id", _ORDER_FEATS, contamination=0.01)
+    return iso.groupBy("iso_anomaly").agg(F.count(F.lit(1)).alias("n"), F.avg("iso_score").alias("mean_score"))

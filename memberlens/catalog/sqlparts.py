@@ -54,3 +54,10 @@ requests AS (
          value / 50.0 AS latency_s, user_id, event_type, value
   FROM events
 )"""
+
+
+def sig_sql(expr: str, digits: int = 10) -> str:
+    """DuckDB twin of functions.scalar.round_sig (significant digits)."""
+    e = f"floor(log10(abs({expr})))"
+    return (f"CASE WHEN {expr} = 0 OR {expr} IS NULL THEN {expr} "
+            f"ELSE round({expr} / pow(10.0, {e}), {digits - 1}) * pow(10.0, {e}) END")
