@@ -53,6 +53,7 @@ def main():
     for name in names:
         run(name)                                    # warm-up (JIT, file listing, codegen)
         times[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
+        spark.catalog.clearCache()                   # no cached frames carried into the next query
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_headline_query_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir,
