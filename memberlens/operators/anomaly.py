@@ -68,15 +68,23 @@ def normalise(df: DataFrame, cols: dict[str, bool]) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- kNN / LOF
-def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, grid_dims: int = 2,
+def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, grid_dims: int = 3,
         max_rounds: int = 40, growth: float = 4.0) -> DataFrame:
     """Exact k nearest neighbours: (id, nbr, dist, rank) with rank 1..k.
 
     Ties at equal distance are broken by neighbour id.  Each round only
     handles the still-unresolved points; the radius grows by ``growth``.
+    The grid uses the ``grid_dims`` dimensions with the most distinct values
+    (a sketch count), so discrete features do not make coarse, hot cells;
+    exactness holds for any subset of dimensions.
     """
     d = df.select(F.size(v).alias("d")).first()["d"]
     m = min(grid_dims, d)
+    if m < d:
+        nd = df.agg(*[F.approx_count_distinct(F.col(v)[i]).alias(f"c{i}") for i in range(d)]).first()
+        dims = sorted(range(d), key=lambda i: (-nd[f"c{i}"], i))[:m]
+    else:
+        dims = list(range(d))
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=m)]
     pts = df.select(F.col(id_col).alias("id"), F.col(v).alias("v")).cache()
     total = pts.count()
@@ -88,7 +96,7 @@ def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, gri
         r0 = 2.0 * math.sqrt(d) * (k / total) ** (1.0 / d)
     r = r0
     for _ in range(max_rounds):
-        cell = F.array(*[F.floor(F.col("v")[i] / F.lit(r)).cast("long") for i in range(m)])
+        cell = F.array(*[F.floor(F.col("v")[i] / F.lit(r)).cast("long") for i in dims])
         data = pts.select(F.col("id").alias("nbr"), F.col("v").alias("nv"), cell.alias("cell"))
         q = pending.select("id", "v", cell.alias("qc"))
         q = q.select("id", "v", F.explode(F.array(*[
