@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -50,6 +51,23 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return os.path.join(root, f"memberlens-{tag}-{uuid.uuid4().hex[:12]}")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Number of state-store partitions for a new stateful query.
+
+    Fixed in the checkpoint at the first run; defaults to the cluster's
+    parallelism (total executor cores), so the state is spread over every
+    core without hundreds of near-empty state stores on a small stream.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or max(8, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_update(df: DataFrame, keys: list[str], tag: str, trigger_once: bool = True) -> DataFrame:
     """Run a streaming aggregate in update mode to completion and return the
     final version of each key as a batch DataFrame.
@@ -66,8 +84,9 @@ def run_update(df: DataFrame, keys: list[str], tag: str, trigger_once: bool = Tr
         batch.write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
 
     w = df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt)
-    q = (w.trigger(availableNow=True) if trigger_once else w).start()
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = (w.trigger(availableNow=True) if trigger_once else w).start()
+        q.awaitTermination()
     res = spark.read.option("basePath", out).parquet(out)
     vals = [c for c in df.columns if c not in keys]
     last = res.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch")).alias("_v"))
@@ -79,9 +98,10 @@ def run_append(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     base = scratch_path(spark, tag)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
-    q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
 
 
