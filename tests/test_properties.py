@@ -163,3 +163,23 @@ def test_csv_roundtrip_and_model_save(spark, tmp_path):
     m.write().overwrite().save(str(tmp_path / "m"))
     m2 = PipelineModel.load(str(tmp_path / "m"))
     assert _rows(m.transform(df).select("prediction")) == _rows(m2.transform(df).select("prediction"))
+
+
+def test_isolation_forest_flags_planted_outlier(spark):
+    rng = np.random.default_rng(2)
+    X = rng.normal(size=(300, 3))
+    X[7] = [9.0, -9.0, 9.0]                       # planted outlier
+    df = spark.createDataFrame([(int(i), *map(float, x)) for i, x in enumerate(X)], "id long, a double, b double, c double")
+    out = A.isolation_forest(df, "id", ["a", "b", "c"], trees=60, contamination=0.05, seed=3).toPandas()
+    assert out.sort_values("iso_score").iloc[0]["id"] == 7      # most anomalous
+    assert out.loc[out.id == 7, "iso_anomaly"].item() == 1
+    assert 5 <= out["iso_anomaly"].sum() <= 30                   # about 5 % flagged
+
+
+def test_leakage_guard_and_fanout(spark, fixture_panel):
+    from memberlens.operators.cleaning import LEAKY, feature_set
+    for task in ("regression", "classification", "clustering", "timeseries"):
+        assert not set(feature_set(task)) & LEAKY.get(task, set())
+    sets = T.split_datasets(B.dropout_risk(fixture_panel.withColumn("retained", F.lit(0))))
+    assert set(sets) == {"regression", "classification", "clustering", "timeseries"}
+    assert "leak_rate" not in sets["regression"].columns and "dropout_risk" in sets["classification"].columns
