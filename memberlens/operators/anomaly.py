@@ -225,7 +225,7 @@ def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int =
     spark = df.sparkSession
     base = pop_scale(df, feats, suffix="__z")
     zc = [c + "__z" for c in feats]
-    pts = base.select(F.col(id_col), *zc)
+    pts = base.select(F.col(id_col), *zc).cache()     # sampled, counted and scored: build once
     n = pts.count()
     psi = int(min(max_samples, n))
     frac = min(1.0, 4.0 * psi / max(n, 1))
@@ -264,7 +264,8 @@ def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int =
             h = np.mean([_path_length(X, t) for t in fr], axis=0)
             yield pd.DataFrame({id_col: pdf[id_col], "iso_score": 0.5 - 2.0 ** (-h / cpsi)})
 
-    sc = pts.mapInPandas(score, T.StructType([pts.schema[id_col], T.StructField("iso_score", T.DoubleType())]))
+    sc = pts.mapInPandas(score, T.StructType([pts.schema[id_col], T.StructField("iso_score", T.DoubleType())])) \
+            .cache()                                   # (id, score): read by the threshold and the output
     off = sc.agg(F.percentile_approx("iso_score", contamination, 100000).alias("off"))
     sc = with_scalars(sc, off, "_o").select(
         id_col, (F.col("iso_score") - F.col("_o.off")).alias("iso_score"))
