@@ -1,6 +1,8 @@
 """Property checks: partition/ordering invariance, no cross-unit leakage,
 exact kNN, bounded scores, edge cases."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +185,23 @@ def test_leakage_guard_and_fanout(spark, fixture_panel):
     sets = T.split_datasets(B.dropout_risk(fixture_panel.withColumn("retained", F.lit(0))))
     assert set(sets) == {"regression", "classification", "clustering", "timeseries"}
     assert "leak_rate" not in sets["regression"].columns and "dropout_risk" in sets["classification"].columns
+
+
+def test_cleaning_helpers(spark):
+    from memberlens.functions import scalar as S
+    df = spark.createDataFrame([(1, None, "7", float("nan"), 10.0, 0.0), (2, 5.0, "x", 3.0, 12.0, 10.0)],
+                               "unit int, a double, s string, b double, cur double, prev double")
+    filled = {r["unit"]: r for r in B.fill_zero(df).collect()}
+    assert filled[1]["a"] == 0.0 and filled[1]["b"] == 0.0          # NULL and NaN both -> 0
+    lenient = [r["s"] for r in B.cast_types(df, {"s": "int"}, lenient=True).orderBy("unit").collect()]
+    assert lenient == [7, None]                                       # try_cast on dirty text
+    assert B.drop_first(df, ["a"]).count() == 1
+    co = B.coalesce_cols(df, "ab", "a", "b").orderBy("unit").collect()
+    assert math.isnan(co[0]["ab"]) and co[1]["ab"] == 5.0
+    inter = B.interactions(spark.createDataFrame([(40.0, 25.0)], "m double, l double"), "m", "l").first()
+    assert inter["retention_rate"] == 0.75 and inter["members_x_retention"] == 30.0
+    g = df.select(S.safe_growth("cur", "prev").alias("g"), S.flagged(F.lit(None).cast("int")).alias("f")) \
+          .orderBy("g").collect()
+    assert [r["g"] for r in g] == [0.0, 20.0] and not g[0]["f"]
+    assert spark.range(1).select(S.season_year(F.lit("2023/2024")).alias("y"),
+                                 S.season_label(F.lit(2023)).alias("s")).first() == (2023, "2023/2024")
