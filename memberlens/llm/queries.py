@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup
+from .mixing import mix
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -52,3 +53,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.sha2("text", 256).alias("text_sha256"),
                       F.octet_length("text").cast("bigint").alias("text_bytes"), "n_chunks", "n_removed")
+
+
+_SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+
+@query("op4_mix_sources", rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, source, {_SIZE} AS size,
+                  CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS u FROM documents),
+         s AS (SELECT source, sum(size) AS n, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS i FROM d GROUP BY source),
+         w AS (SELECT source, n, 3 * n AS cap, [5.0, 2.0, 1.0][1 + i % 3]::DOUBLE AS w FROM s),
+         t AS (SELECT 0 AS round, source, n, cap, w, false AS stuck FROM w
+               UNION ALL
+               SELECT round + 1, source, n, cap, w, stuck OR (left_over * w / rest > cap) FROM (
+                   SELECT *, CAST(sum(n) OVER () - coalesce(sum(cap) FILTER (stuck) OVER (), 0) AS DOUBLE) AS left_over,
+                          sum(w) FILTER (NOT stuck) OVER () AS rest FROM t) WHERE round < 30),
+         f AS (SELECT source, n, CASE WHEN stuck THEN CAST(cap AS DOUBLE) ELSE
+                      CAST(sum(n) OVER () - coalesce(sum(cap) FILTER (stuck) OVER (), 0) AS DOUBLE) * w / sum(w) FILTER (NOT stuck) OVER () END AS target
+               FROM t WHERE round = 30),
+         p AS (SELECT *, CASE WHEN n > 0 THEN least(floor(target / n), 3) ELSE 0 END AS base FROM f),
+         r AS (SELECT d.*, n, target, base, target - base * n AS budget, sum(size) OVER (PARTITION BY d.source ORDER BY u) AS upto,
+                      sum(size) OVER (PARTITION BY d.source, u) AS tied FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, target,
+           CAST(size * (base + CASE WHEN budget > 0 AND upto - tied < budget AND (upto < budget OR upto - budget <= budget - (upto - tied))
+                               THEN 1 ELSE 0 END) AS BIGINT) AS taken
+    FROM r""")
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")) \
+        .select("doc_id", "size", "source_size", "target", "taken")
