@@ -9,6 +9,7 @@ from .common import table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup
 from .mixing import mix
+from .simhash import simhash_dedup
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -81,3 +82,9 @@ _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")) \
         .select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")) \
+        .select("doc_id", "fingerprint", "component_id")
