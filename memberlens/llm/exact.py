@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mark_repeated, own_columns, repeated_keys, scratch
+from .common import cut, mark_repeated, own_columns, repeated_keys, scratch
 
 #: Leading characters that the second refinement looks at.
 PREFIX_CHARS = 64
@@ -45,9 +45,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = F.concat(F.lit("u"), F.hex(F.xxhash64(F.col(id_col), n, prefix)))
     hashed = third.withColumn(full, F.when(F.col(by_length) & F.col(by_prefix),
                                            F.concat(n.cast("string"), F.lit(":"), F.sha2(text, 256))).otherwise(alone))
-    groups = (hashed.filter(F.col(by_length) & F.col(by_prefix))
-              .groupBy(F.col(full).alias("_g")).agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-              .filter("group_size > 1"))
+    # cut: the join then has an exchange on either side, which AQE can split at a hot group
+    groups = cut(hashed.filter(F.col(by_length) & F.col(by_prefix))
+                 .groupBy(F.col(full).alias("_g")).agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+                 .filter("group_size > 1"))
     out = hashed.join(groups, F.col(full) == F.col("_g"), "left")
     keep = F.when(F.col("_g").isNotNull(), F.col("keep_id")).otherwise(F.col(id_col))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], keep.alias("keep_id"),

@@ -94,8 +94,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = repeated_keys(at.select(F.col("h").alias("k")))
     some = cut(mark_repeated(at, F.col("h"), repeated, "again").filter("again").drop("again"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "pos")
-    first = (some.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-             .select(F.col("h").alias("fh"), F.col("chunk").alias("fc"), "first"))
+    first = cut(some.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+                .select(F.col("h").alias("fh"), F.col("chunk").alias("fc"), "first"))
     gone = (some.join(first, (F.col("h") == F.col("fh")) & (F.col("chunk") == F.col("fc")))
             .filter(~place.eqNullSafe(F.col("first")))
             .groupBy(F.col("id").alias("gid"), F.col("th").alias("gth")).agg(F.collect_set("pos").alias("gone")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import decode, encode, load_ranks
 from .common import table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup
@@ -88,3 +89,13 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")) \
         .select("doc_id", "fingerprint", "component_id")
+
+
+@query("op8_byte_bpe")
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks = load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    told = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return decode(told, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

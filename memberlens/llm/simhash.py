@@ -134,7 +134,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     roots = components(near_pairs(prints.select("fp"), max_bits, segments))
     member = prints.join(roots, prints.fp == roots.node, "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("id").alias("least")).withColumnRenamed("root", "r")
-    label = member.join(least, member.root == F.col("r")).select(F.col("fp").alias("lfp"), "least")
+    label = cut(member.join(least, member.root == F.col("r")).select(F.col("fp").alias("lfp"), "least"))
     out = with_fingerprint(d, text, "fp", shingle, seed).join(label, F.col("fp") == F.col("lfp"))
     return out.select(*[F.col(p).alias(c) for c, p in names.items()], hex16(F.col("fp")).alias("fingerprint"),
                       F.col("least").alias("component_id"), F.col("least").eqNullSafe(F.col(did)).alias("kept"))
