@@ -174,10 +174,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     d = docs.toDF(*names.values()).select(*dict.fromkeys([*(names[c] for c in keep), names[text_col]]))
     at, n = d.columns.index(names[text_col]), len(keep)
     schema = StructType([*(d.schema[names[c]] for c in keep), StructField(out, ArrayType(IntegerType()))])
-    shared = docs.sparkSession.sparkContext.broadcast(ByteBPE(ranks, pattern))
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks})
 
     def run(batches):
-        bpe = shared.value                  # a worker keeps it, and what it has memorised, for its next task
+        box = shared.value                  # a worker keeps this, and so what the encoder has memorised, for its next task
+        bpe = box["bpe"] = box.get("bpe") or ByteBPE(box["ranks"], pattern)
         for b in batches:
             start, held, size = 0, [], 0
             for i, t in enumerate(b.column(at)):

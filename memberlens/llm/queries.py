@@ -11,6 +11,7 @@ from .exact import exact_dedup, text_sha256
 from .lines import line_dedup
 from .mixing import mix
 from .simhash import simhash_dedup
+from .wordpiece import pieces_of, token_counts
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -99,3 +100,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
     return decode(told, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    first, inner = pieces_of(load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    return token_counts(table(spark, sf_dir, "documents"), first, inner, keep=["doc_id"])
