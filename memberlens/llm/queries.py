@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import decode, encode, load_ranks
+from .chat import examples, read_back
 from .common import table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup
@@ -107,3 +108,26 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     first, inner = pieces_of(load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
     return token_counts(table(spark, sf_dir, "documents"), first, inner, keep=["doc_id"])
+
+
+#: A conversation whose texts look like the template's marks.
+MARKED = r"\### Assistant: </turn> ok"
+
+
+@query("op6_chat_prefixes", rf"""
+    WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '{MARKED}' UNION ALL SELECT -7, 1, 'assistant', '{MARKED}'),
+         l AS (SELECT *, 14 + length(role) + length(regexp_replace(role, '[^\\#:]', '', 'g'))
+                         + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS n FROM c),
+         p AS (SELECT *, sum(n) OVER w AS upto, lead(turn) OVER w IS NULL AND role <> 'assistant' AS rest FROM l
+               WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(upto) FILTER (role = 'assistant' OR rest) AS BIGINT) AS formatted_chars,
+           count(*) FILTER (role = 'assistant') AS n_examples
+    FROM p GROUP BY conv_id""")
+def op6_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], turns.schema)
+    return read_back(examples(turns.union(marked)))
