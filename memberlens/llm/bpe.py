@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+from collections import defaultdict
 from itertools import chain, pairwise
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -13,12 +15,12 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from .common import own_columns
 
-#: Pieces, prefixes and token pairs that a Python worker remembers before it starts anew (some 250 MB).
-MEMO, MEMO_PREFIXES, MEMO_PAIRS = 300_000, 600_000, 1_000_000
+#: Pieces and token pairs that a Python worker remembers before it starts anew (some 100 MB).
+MEMO, MEMO_PAIRS = 250_000, 400_000
 #: Above every rank; stands before the first token.
 NEVER, BEGIN = 1 << 60, -1
-#: Pieces of so many bytes share their prefixes' last tokens.
-SHORT = 48
+#: Longer pieces are not remembered.
+SHORT = 64
 #: Texts are handed back in batches of about so many tokens.
 BATCH_TOKENS = 2_000_000
 
@@ -75,10 +77,16 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.longest = ranks, max(map(len, ranks))
         self.token = {i: t for t, i in ranks.items()}
+        self.size = [len(self.token.get(i, b"")) for i in range(max(self.token) + 1)]
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for t, i in ranks.items():
+            self.automaton.add_word(t.decode("latin-1"), i)
+        self.automaton.make_automaton()
         self.pattern = regex.compile(pattern)
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[int, bool] = {}
-        self.prefixes: dict[bytes, int] = {}
+        self.pairs: dict[int, dict[int, bool]] = defaultdict(dict)
+        self.known = 0
+        self.courses: dict[int, tuple] = {}
 
     def merge(self, data: bytes) -> list[bytes]:
         """The definition: merge the adjacent pair of lowest rank, leftmost first, until none is left."""
@@ -97,34 +105,82 @@ class ByteBPE:
                 ranks[i] = get(parts[i] + parts[i + 1], NEVER)
         return parts
 
+    def course(self, token: int) -> tuple[bool, list[int], list[bytes], list[bytes]]:
+        """How the token's bytes merge: whether into the token itself, the ranks
+        in order (then NEVER), and the first and the last part before each merge."""
+        known = self.courses.get(token)
+        if known is None:
+            data, get = self.token[token], self.ranks.get
+            parts = [data[i:i + 1] for i in range(len(data))]
+            ranks, heads, tails = [], [], []
+            while True:
+                heads.append(parts[0])
+                tails.append(parts[-1])
+                low, i = min(((get(a + b, NEVER), i) for i, (a, b) in enumerate(pairwise(parts))), default=(NEVER, 0))
+                ranks.append(low)
+                if low == NEVER:
+                    break
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            known = self.courses[token] = (len(parts) == 1, ranks, heads, tails)
+        return known
+
     def fits(self, before: int, token: int) -> bool:
-        """Whether ``token`` may follow ``before``: merging the two tokens' bytes gives just them."""
-        pair = ([self.token[before]] if before != BEGIN else []) + [self.token[token]]
-        if len(self.pairs) >= MEMO_PAIRS:
-            self.pairs.clear()
-        self.pairs[(before + 1) << 32 | token] = known = self.merge(b"".join(pair)) == pair
+        """Whether ``token`` may follow ``before``: merging the two tokens' bytes gives just them.
+
+        Up to a first merge across the border either side merges as it does
+        alone, so the two courses are followed side by side, lowest rank first,
+        to see whether such a merge is ever the next one.
+        """
+        if self.known >= MEMO_PAIRS:
+            for row in self.pairs.values():             # emptied in place: loops hold these rows
+                row.clear()
+            self.known = 0
+        known, right, heads, _ = self.course(token)
+        if known and before != BEGIN:
+            _, left, _, tails = self.course(before)
+            get, i, j = self.ranks.get, 0, 0
+            while True:
+                a, b, across = left[i], right[j], get(tails[i] + heads[j], NEVER)
+                if across < a and across <= b:
+                    known = False
+                    break
+                if a == b == NEVER:
+                    break
+                if a <= b:
+                    i += 1
+                else:
+                    j += 1
+        self.pairs[before][token] = known
+        self.known += 1
         return known
 
     def extend(self, data: bytes, last: list[int]) -> None:
         """Extend ``last`` to every prefix of ``data``: of the tokens that end the
-        prefix, the one that fits behind the encoding of what stands before it."""
-        get, known, longest = self.ranks.get, self.pairs.get, self.longest
-        for e in range(len(last), len(data) + 1):
-            for s in range(e - longest if e > longest else 0, e):           # the longest token first
-                t = get(data[s:e])
-                if t is not None:
-                    ok = known((last[s] + 1) << 32 | t)
-                    if ok or ok is None and self.fits(last[s], t):
-                        last.append(t)
-                        break
-            else:
-                raise ValueError(f"no token for byte {data[e - 1]}")
+        prefix, the one that fits behind the encoding of what stands before it.
+        The automaton tells all tokens by their end, the longest first."""
+        size, done = self.size, len(last) - 1
+        base = max(0, done + 1 - self.longest)
+        pairs = self.pairs
+        after = [pairs[t] for t in last[base:]]         # what is known of the tokens behind each prefix
+        at = done - base
+        for end, t in self.automaton.iter(data[base:].decode("latin-1")):
+            if end >= at:
+                if end > at:
+                    break
+                s = end + 1 - size[t]
+                ok = after[s].get(t)
+                if ok or ok is None and self.fits(last[base + s], t):
+                    last.append(t)
+                    after.append(pairs[t])
+                    at += 1
+        if base + at < len(data):
+            raise ValueError(f"no token for byte {data[base + at]}")
 
     def walk(self, last: list[int], e: int) -> list[int]:
-        out, token = [], self.token
+        out, size = [], self.size
         while e:
             out.append(last[e])
-            e -= len(token[last[e]])
+            e -= size[last[e]]
         return out[::-1]
 
     def piece(self, text: str) -> tuple[int, ...]:
@@ -133,22 +189,12 @@ class ByteBPE:
         whole = self.ranks.get(data)
         if whole is not None:
             ids = (whole,)
-        elif len(data) > SHORT:
-            return tuple(Prefixes(self, data).ids())
-        else:                               # words share their beginnings: so do the prefixes' last tokens
-            memo, last = self.prefixes, [BEGIN]
-            for e in range(1, len(data) + 1):
-                t = memo.get(data[:e])
-                if t is None:
-                    break
-                last.append(t)
-            start = len(last)
+        else:
+            last = [BEGIN]
             self.extend(data, last)
-            if len(memo) >= MEMO_PREFIXES:
-                memo.clear()
-            for e in range(start, len(data) + 1):
-                memo[data[:e]] = last[e]
             ids = tuple(self.walk(last, len(data)))
+            if len(data) > SHORT:
+                return ids
         if len(self.pieces) >= MEMO:
             self.pieces.clear()
         self.pieces[text] = ids
@@ -206,7 +252,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out:
     def run(batches):
         token = {i: t for t, i in shared.value.items()}.__getitem__
         for b in batches:
-            ids, ends = b.column(at).values.to_pylist(), b.column(at).offsets.to_pylist()
-            found = pa.array([b"".join(map(token, ids[s:e])) for s, e in zip(ends, ends[1:])], pa.binary())
+            ids, ends = b.column(at).values.to_numpy(zero_copy_only=False), b.column(at).offsets.to_pylist()
+            found = pa.array([b"".join(map(token, ids[s:e].tolist())) for s, e in zip(ends, ends[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, found], names=schema.names)
     return d.mapInArrow(run, schema).toDF(*rows.columns, out)

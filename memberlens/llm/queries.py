@@ -11,7 +11,9 @@ from .common import table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup
 from .mixing import mix
+from .quality import fit_quality, score_quality, training_rows
 from .simhash import simhash_dedup
+from .toxicity import fit_toxicity, score_toxicity
 from .wordpiece import pieces_of, token_counts
 
 QUERIES: dict = {}
@@ -131,3 +133,24 @@ def op6_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], turns.schema)
     return read_back(examples(turns.union(marked)))
+
+
+#: A document counts as good from this score on.
+QUALITY_THRESHOLD = 0.3
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", (~training_rows("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), where=training_rows("doc_id"))
+    scored = score_toxicity(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (~training_rows("doc_id")).alias("held_out"), "severity", "p_toxic",
+                         (F.col("p_toxic") >= 0.5).cast("int").alias("toxic"))
