@@ -126,7 +126,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                .withColumn("budget", F.col("target") - F.col("base") * F.col("source_size")))
     limits = thresholds(slim, plan.filter("budget > 0").select("source", F.col("budget")))
     plan = plan.join(limits.select(F.col("source").alias("ts"), "threshold"), F.col("source").eqNullSafe(F.col("ts")), "left")
-    p = plan.select(F.col("source").alias("ps"), "source_size", "target", "base", "threshold")
+    # cut: an exchange of its own, so that AQE can broadcast it or split a hot source
+    p = cut(plan.select(F.col("source").alias("ps"), "source_size", "target", "base", "threshold"))
     j = d.join(p, F.col("source").eqNullSafe(F.col("ps")))
     copies = F.col("base") + F.when(F.col("u") <= F.col("threshold"), F.lit(1)).otherwise(F.lit(0))
     j = j.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
