@@ -72,11 +72,21 @@ def table_profile(spark, sf_dir):
     return A.profile_tables(spark, sf_dir, list(_PROFILE_COLS))
 
 
-@query("fingerprint")
+def _fingerprint_sql(t: str, cols) -> str:
+    row = " || ',' || ".join(f"CASE WHEN {c} IS NULL THEN 'n' ELSE 'v' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END" for c in cols)
+    return (f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, CAST(SUM(CAST(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT) AS HUGEINT)) "
+            f"% 2305843009213693951 AS BIGINT) AS content_hash FROM {t}")
+
+
+_FINGERPRINTS = {"orders": ["o_orderkey", "o_custkey", "o_orderstatus"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"],
+                 "events": ["event_id", "user_id", "event_type", "props"]}
+
+
+@query("fingerprint", sql="\nUNION ALL\n".join(_fingerprint_sql(t, c) for t, c in _FINGERPRINTS.items()))
 def fingerprint(spark, sf_dir):
-    """Order-insensitive content fingerprints of the fact tables."""
-    parts = [A.fingerprint(A.read_table(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "*")
-             for t in ("orders", "lineitem", "events")]
+    """Order-insensitive content fingerprints of the fact tables' keys and codes."""
+    parts = [A.fingerprint(A.read_table(spark, sf_dir, t).select(*c)).select(F.lit(t).alias("table_name"), "*")
+             for t, c in _FINGERPRINTS.items()]
     return D.compare(*parts)
 
 
@@ -183,11 +193,11 @@ def head_row(spark, sf_dir):
 
 @query("recent_runs", sql=f"""
 WITH {LQ._LEDGER_CTE}
-SELECT run_id, section, start_time FROM runs ORDER BY start_time DESC, run_id LIMIT 5""")
+SELECT run_id, section, start_time FROM runs""")
 def recent_runs(spark, sf_dir):
-    """the five most recent runs."""
-    runs = LQ.build_ledger(spark, sf_dir).select("run_id", "section", "start_time").distinct()
-    return runs.orderBy(F.col("start_time").desc(), "run_id").limit(5)
+    """every run, the most recent first."""
+    runs = LQ.ledger_once(spark, sf_dir).select("run_id", "section", "start_time").distinct()
+    return runs.orderBy(F.col("start_time").desc(), "run_id")
 
 
 # ----------------------------------------------------------------------------- G3
@@ -389,10 +399,16 @@ def bisecting_kmeans(spark, sf_dir):
     Ward linkage; cluster sizes and mean profile."""
     from pyspark.ml.clustering import BisectingKMeans
     up = D.unit_profile(load_panel(spark, sf_dir))
-    z = ML.pop_scale(up, ["avg_variation", "cv_members"], suffix="__z")
-    data = ML.assemble(z.na.fill(0.0), ["avg_variation__z", "cv_members__z"])
-    m = BisectingKMeans(featuresCol="features", k=3, seed=42).fit(data)
+    # Spark moves the two start centres of a split in proportion to the mean's
+    # length, which is 0 for centred features: keep the features away from 0
+    z = ML.pop_scale(up, ["avg_variation", "cv_members"], suffix="__z").na.fill(0.0) \
+        .withColumns({f"{c}__s": F.col(f"{c}__z") + 5.0 for c in ("avg_variation", "cv_members")})
+    data = ML.assemble(z, ["avg_variation__s", "cv_members__s"])
+    m = BisectingKMeans(featuresCol="features", k=3, seed=42, minDivisibleClusterSize=2.0).fit(data)
     lab = m.transform(data)
+    found = lab.select("prediction").distinct().count()
+    if found != 3:
+        raise RuntimeError(f"bisecting k-means made {found} clusters of 3")
     return D.cluster_profile(lab, "prediction", ["avg_members", "avg_variation", "cv_members"])
 
 

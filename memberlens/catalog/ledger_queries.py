@@ -11,6 +11,7 @@ from ..operators import aggregates as D
 from ..operators import ledger as K
 from ..operators import timeseries as TS
 from ..plans.panel import load_panel
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from .registry import query
 from .sqlparts import PANEL_CTE
@@ -123,6 +124,11 @@ prom AS (SELECT g.registered_name, g.section, lv.latest_version AS version, g.va
          FROM gate g LEFT JOIN best b ON g.section = b.section JOIN lv ON g.registered_name = lv.registered_name)"""
 
 
+def ledger_once(spark, sf_dir):
+    """The ledger, built once: best runs, gate and promotion read it several times."""
+    return cut_lineage(build_ledger(spark, sf_dir))
+
+
 @query("run_ledger", doubles=("metric_value",), sql=f"""
 WITH {_LEDGER_CTE}
 SELECT * FROM ledger""")
@@ -137,7 +143,7 @@ SELECT * FROM best""")
 def best_runs(spark, sf_dir):
     """K2: best run per section by the section metric (-999 when missing,
     most recent wins ties)."""
-    return K.best_runs(build_ledger(spark, sf_dir), spark)
+    return K.best_runs(ledger_once(spark, sf_dir), spark)
 
 
 @query("run_summary", sql=f"""
@@ -149,7 +155,7 @@ SELECT run_id, COALESCE('R2=' || printf('%.3f', r2), 'F1=' || printf('%.3f', f1)
                         'Silhouette=' || printf('%.3f', sil), 'n/a') AS key_metric FROM piv""")
 def run_summary(spark, sf_dir):
     """K3: key-metric label per run."""
-    return K.run_summary(build_ledger(spark, sf_dir))
+    return K.run_summary(ledger_once(spark, sf_dir))
 
 
 @query("latest_versions", sql=f"""
@@ -157,7 +163,7 @@ WITH {_LEDGER_CTE}
 SELECT * FROM lv""")
 def latest_versions(spark, sf_dir):
     """K4: latest integer version per registered model."""
-    return K.latest_versions(build_ledger(spark, sf_dir))
+    return K.latest_versions(ledger_once(spark, sf_dir))
 
 
 @query("gate", doubles=("threshold", "best_value"), sql=f"""
@@ -165,7 +171,7 @@ WITH {_LEDGER_CTE}
 SELECT * FROM gate""")
 def gate(spark, sf_dir):
     """Quality gate per registered model."""
-    return K.gate(build_ledger(spark, sf_dir), spark)
+    return K.gate(ledger_once(spark, sf_dir), spark)
 
 
 @query("promote", sql=f"""
@@ -173,7 +179,7 @@ WITH {_LEDGER_CTE}
 SELECT * FROM prom""")
 def promote(spark, sf_dir):
     """K6: registered / staging / production stage per model."""
-    return K.promote(build_ledger(spark, sf_dir), spark)
+    return K.promote(ledger_once(spark, sf_dir), spark)
 
 
 @query("registry_report", sql=f"""
@@ -184,6 +190,6 @@ SELECT p.registered_name, p.version, p.stage, p.section, g.metric_name,
 FROM prom p JOIN gate g ON p.registered_name = g.registered_name""")
 def registry_report(spark, sf_dir):
     """K7: registry report with the production count."""
-    return K.registry_report(build_ledger(spark, sf_dir), spark)
+    return K.registry_report(ledger_once(spark, sf_dir), spark)
 
 

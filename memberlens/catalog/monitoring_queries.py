@@ -15,6 +15,7 @@ from ..operators import monitoring as L
 from ..operators import windows as W
 from ..operators.joins import inhibit
 from ..plans.panel import load_panel, load_requests
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from .registry import query
 from .sqlparts import FEATURES_CTE, PANEL_CTE, REQUESTS_CTE
@@ -289,6 +290,9 @@ def retraining_triggers(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ alert engine
+# Seconds between two evaluations of a rule (the slide of the metric windows).
+EVAL_STEP_S = 3600
+
 _RULES_SQL = "(VALUES " + ", ".join(f"('{a}', '{m}', '{o}', CAST({t} AS DOUBLE), {h}, '{s}')" for a, m, o, t, h, s in L.ALERT_RULES) + \
     ") AS rules(alertname, metric, op, threshold, hold_s, severity)"
 
@@ -307,18 +311,36 @@ ev AS (
                           WHEN '==' THEN value = threshold WHEN '!=' THEN value <> threshold END, false) AS condition
   FROM ml JOIN {_RULES_SQL} ON ml.metric = rules.metric
   WHERE value IS NOT NULL),
-isl AS (SELECT *, SUM(CASE WHEN condition THEN 0 ELSE 1 END) OVER (PARTITION BY alertname, labels ORDER BY eval_time
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM ev),
+gp AS (SELECT *, COALESCE(epoch_us(eval_time) - epoch_us(LAG(eval_time) OVER (PARTITION BY alertname, labels ORDER BY eval_time))
+                          > {EVAL_STEP_S}000000, false) AS missed FROM ev),
+isl AS (SELECT *, SUM(CASE WHEN condition AND NOT missed THEN 0 ELSE 1 END) OVER (PARTITION BY alertname, labels ORDER BY eval_time
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM gp),
 act AS (SELECT *, MIN(CASE WHEN condition THEN eval_time END) OVER (PARTITION BY alertname, labels, island) AS active_since FROM isl),
 st AS (SELECT *, CASE WHEN NOT condition THEN 'inactive'
                       WHEN (epoch_us(eval_time) - epoch_us(active_since)) / 1e6 >= hold_s THEN 'firing'
                       ELSE 'pending' END AS state FROM act)"""
 
 
+_TRANSITIONS_CTE = _EVAL_CTE + f""",
+nb AS (SELECT *, CASE WHEN missed THEN 'inactive' ELSE COALESCE(LAG(state) OVER (PARTITION BY alertname, labels ORDER BY eval_time), 'inactive') END AS prev,
+              LEAD(eval_time) OVER (PARTITION BY alertname, labels ORDER BY eval_time) AS nxt FROM st),
+tr AS (SELECT alertname, severity, labels, eval_time, CASE WHEN state = 'firing' THEN 'firing' ELSE 'resolved' END AS status FROM nb
+       WHERE (state = 'firing' AND prev <> 'firing') OR (state <> 'firing' AND prev = 'firing')
+       UNION ALL
+       SELECT alertname, severity, labels, eval_time + INTERVAL {EVAL_STEP_S} SECOND, 'resolved' FROM nb
+       WHERE state = 'firing' AND CASE WHEN nxt IS NULL THEN eval_time + INTERVAL {EVAL_STEP_S} SECOND <= (SELECT MAX(eval_time) FROM st)
+                                       ELSE nxt > eval_time + INTERVAL {EVAL_STEP_S} SECOND END)"""
+
+
 def _alert_states(spark, sf_dir):
+    """Rule states, built once: the callers read them several times."""
     req = load_requests(spark, sf_dir)
     ev = L.evaluate_rules(L.metrics_long(req), L.rules_frame(spark))
-    return L.hold(ev, ["alertname", "labels"])
+    return cut_lineage(L.hold(ev, ["alertname", "labels"], step_s=EVAL_STEP_S))
+
+
+def _transitions(spark, sf_dir):
+    return L.alert_transitions(_alert_states(spark, sf_dir), ["alertname", "labels"], step_s=EVAL_STEP_S)
 
 
 @query("alert_rules", doubles=("value", "threshold"), sql=f"""
@@ -341,13 +363,11 @@ def alert_hold(spark, sf_dir):
 
 
 @query("alert_transitions", sql=f"""
-WITH {_EVAL_CTE},
-tr AS (SELECT *, COALESCE(LAG(state) OVER (PARTITION BY alertname, labels ORDER BY eval_time), 'inactive') AS prev FROM st)
-SELECT alertname, severity, labels, eval_time, CASE WHEN state = 'firing' THEN 'firing' ELSE 'resolved' END AS status
-FROM tr WHERE (state = 'firing' AND prev <> 'firing') OR (state <> 'firing' AND prev = 'firing')""")
+WITH {_TRANSITIONS_CTE}
+SELECT alertname, severity, labels, eval_time, status FROM tr""")
 def alert_transitions(spark, sf_dir):
     """Firing and resolved notifications per alert key."""
-    t = L.alert_transitions(_alert_states(spark, sf_dir), ["alertname", "labels"])
+    t = _transitions(spark, sf_dir)
     return t.select("alertname", "severity", "labels", "eval_time", "status")
 
 
@@ -367,14 +387,18 @@ def inhibit_anti(spark, sf_dir):
 
 
 @query("alert_route", sql=f"""
-WITH {_EVAL_CTE},
+WITH RECURSIVE {_EVAL_CTE},
 f AS (SELECT alertname, severity, labels, eval_time,
              CASE severity WHEN 'critical' THEN 'critical-receiver' WHEN 'warning' THEN 'log-receiver' ELSE 'log-receiver' END AS receiver,
              CASE severity WHEN 'critical' THEN 900 WHEN 'warning' THEN 1800 ELSE 3600 END AS repeat_s
-      FROM st WHERE state = 'firing')
-SELECT alertname, severity, receiver, MIN(eval_time) AS notify_time, COUNT(*) AS n_alerts,
-       list_sort(list_distinct(list(labels))) AS labels
-FROM f GROUP BY alertname, severity, receiver, floor(epoch_us(eval_time) / 1e6 / repeat_s)""")
+      FROM st WHERE state = 'firing'),
+n AS (SELECT alertname, severity, MIN(eval_time) AS t FROM f GROUP BY 1, 2
+      UNION ALL
+      SELECT n.alertname, n.severity, MIN(f.eval_time) FROM n JOIN f ON f.alertname = n.alertname AND f.severity = n.severity
+             AND epoch_us(f.eval_time) >= epoch_us(n.t) + f.repeat_s * 1000000 GROUP BY 1, 2),
+g AS (SELECT f.*, (SELECT MAX(t) FROM n WHERE n.alertname = f.alertname AND n.severity = f.severity AND n.t <= f.eval_time) AS t FROM f)
+SELECT alertname, severity, receiver, t AS notify_time, COUNT(*) AS n_alerts, list_sort(list_distinct(list(labels))) AS labels
+FROM g GROUP BY alertname, severity, receiver, t""")
 def alert_route(spark, sf_dir):
     """Receivers by severity, grouped by (alertname, severity), one
     notification per repeat interval."""
@@ -383,15 +407,12 @@ def alert_route(spark, sf_dir):
 
 
 @query("flatten_alerts", sql=f"""
-WITH {_EVAL_CTE},
-tr AS (SELECT *, COALESCE(LAG(state) OVER (PARTITION BY alertname, labels ORDER BY eval_time), 'inactive') AS prev FROM st)
-SELECT eval_time, alertname, severity, CASE WHEN state = 'firing' THEN 'firing' ELSE 'resolved' END AS status,
-       alertname || ' on ' || labels AS summary
-FROM tr WHERE (state = 'firing' AND prev <> 'firing') OR (state <> 'firing' AND prev = 'firing')""")
+WITH {_TRANSITIONS_CTE}
+SELECT eval_time, alertname, severity, status, alertname || ' on ' || labels AS summary FROM tr""")
 def flatten_alerts(spark, sf_dir):
     """A10: transitions packed into webhook JSON payloads (one per
     evaluation), then parsed back with from_json + explode_outer + defaults."""
-    t = L.alert_transitions(_alert_states(spark, sf_dir), ["alertname", "labels"])
+    t = _transitions(spark, sf_dir)
     alert = F.struct(F.create_map(F.lit("alertname"), F.col("alertname"), F.lit("severity"), F.col("severity")).alias("labels"),
                      F.create_map(F.lit("summary"), F.concat_ws(" on ", "alertname", "labels")).alias("annotations"),
                      F.col("status").alias("status"))

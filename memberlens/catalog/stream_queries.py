@@ -61,15 +61,16 @@ def stream_alert_hold(spark, sf_dir):
     ev.select("alertname", "severity", "labels", F.col("eval_time").cast("timestamp").alias("eval_time"),
               "condition", "hold_s").write.parquet(path)
     schema = spark.read.parquet(path).schema
+    ST.close_folder(spark, path, "eval_time")
     s = ST.folder_stream(spark, path, schema).withWatermark("eval_time", "6 hours")
-    out = ST.run_append(ST.hold_stream(s), "hold")
+    out = ST.run_append(ST.hold_stream(s, MQ.EVAL_STEP_S), "hold")
     return out.select("alertname", "severity", "labels", *_ntz("eval_time", "active_since"), "state")
 
 
 @query("stream_silence_gaps", doubles=("gap_s",))
 def stream_silence_gaps(spark, sf_dir):
-    """L20 (T): silences of more than 20 minutes on the event stream
-    (per-batch distributed lag with the last event time carried over)."""
+    """L20 (T): silences of more than 20 minutes on the event stream (first
+    and last event of every slice, then the gaps between slices)."""
     e = ST.table_stream(spark, sf_dir, "events").select("ts")
     return ST.gap_stream(e, 1200.0)
 

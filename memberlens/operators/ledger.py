@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import with_scalars
+
 # The metric each section is ranked by, and the promotion
 # thresholds per metric.
 SECTION_METRIC = [("regression", "R2"), ("classification", "F1"),
@@ -99,5 +101,6 @@ def registry_report(ledger: DataFrame, spark: SparkSession) -> DataFrame:
     j = p.join(g, "registered_name")
     desc = F.concat_ws(" ", F.col("section"), F.lit("model,"), F.col("metric_name"),
                        F.format_string("%.3f", F.col("best_value")))
+    j = with_scalars(j, p.agg(F.count_if(F.col("stage") == "production").alias("n")), "_production")
     return j.select("registered_name", "version", "stage", "section", "metric_name", desc.alias("description"),
-                    F.count_if(F.col("stage") == "production").over(Window.partitionBy()).alias("n_production"))
+                    F.col("_production.n").alias("n_production"))

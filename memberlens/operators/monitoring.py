@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import epoch_us, from_epoch_us
+from ..functions.scalar import epoch_us, from_epoch_us, with_scalars
 from .metrics import prefix_sums
 
 # Latency histogram upper bounds (seconds), +Inf implied.
@@ -284,50 +284,84 @@ def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     return j.withColumn("condition", F.coalesce(cond, F.lit(False)))
 
 
-def hold(evals: DataFrame, key: list[str], t: str = "eval_time") -> DataFrame:
+def hold(evals: DataFrame, key: list[str], t: str = "eval_time", step_s: float | None = None) -> DataFrame:
     """Pending -> firing after the condition held ``hold_s`` seconds.
 
-    Gaps-and-islands: island id = number of false evaluations so far; the
-    active-since time is the first true evaluation of the island; firing when
-    eval_time - active_since >= hold_s.
+    Gaps-and-islands: an island ends at a false evaluation and, with ``step_s``
+    (seconds between evaluations), where an evaluation is missing: a series that
+    vanishes starts anew.  The active-since time is the first true evaluation of
+    the island; firing when eval_time - active_since >= hold_s.
     """
-    w = Window.partitionBy(*key).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
-    e = evals.withColumn("_island", F.sum(F.when(F.col("condition"), 0).otherwise(1)).over(w))
+    by = Window.partitionBy(*key).orderBy(t)
+    w = by.rowsBetween(Window.unboundedPreceding, 0)
+    goes_on = F.col("condition")
+    if step_s is not None:
+        before = F.lag(epoch_us(t), 1).over(by)
+        evals = evals.withColumn("_missed", F.coalesce(epoch_us(t) - before > F.lit(int(step_s * 1e6)), F.lit(False)))
+        goes_on = goes_on & ~F.col("_missed")
+    e = evals.withColumn("_island", F.sum(F.when(goes_on, 0).otherwise(1)).over(w))
     wi = Window.partitionBy(*key, "_island")
     e = e.withColumn("active_since", F.min(F.when(F.col("condition"), F.col(t))).over(wi))
     held = (epoch_us(t) - epoch_us("active_since")) / 1e6
     state = (F.when(~F.col("condition"), F.lit("inactive"))
              .when(held >= F.col("hold_s"), F.lit("firing")).otherwise(F.lit("pending")))
-    return e.withColumn("state", state).drop("_island")
+    return e.withColumn("state", state).drop("_island", "_missed")
 
 
-def alert_transitions(states: DataFrame, key: list[str], t: str = "eval_time") -> DataFrame:
-    """Firing / resolved notifications on state changes per alert key."""
+def alert_transitions(states: DataFrame, key: list[str], t: str = "eval_time", step_s: float | None = None) -> DataFrame:
+    """Firing / resolved notifications on state changes per alert key.
+
+    With ``step_s`` a series that fires and then misses an evaluation resolves
+    one step after its last one (unless the data end there), and counts as
+    inactive when it comes back.
+    """
     w = Window.partitionBy(*key).orderBy(t)
     prev = F.coalesce(F.lag("state", 1).over(w), F.lit("inactive"))
-    s = states.withColumn("_prev", prev)
-    return (s.where(((F.col("state") == "firing") & (F.col("_prev") != "firing"))
-                    | ((F.col("state") != "firing") & (F.col("_prev") == "firing")))
-            .withColumn("status", F.when(F.col("state") == "firing", "firing").otherwise("resolved"))
-            .drop("_prev"))
+    s, at = states, F.col(t)
+    none = F.lit(None).cast(states.schema[t].dataType)
+    gone = none
+    if step_s is not None:
+        step = F.make_dt_interval(secs=F.lit(float(step_s)))
+        s = with_scalars(s, states.agg(F.max(t).alias("mx")), "_end").withColumn("_next", F.lead(t, 1).over(w))
+        missed = F.coalesce(at - F.lag(t, 1).over(w) > step, F.lit(False))
+        prev = F.when(missed, F.lit("inactive")).otherwise(prev)
+        vanishes = F.coalesce(F.col("_next") - at > step, at + step <= F.col("_end.mx"))
+        gone = F.when((F.col("state") == "firing") & vanishes, at + step)
+    s = s.withColumn("_prev", prev)
+    changes = F.array(
+        F.struct(F.when((F.col("state") == "firing") & (F.col("_prev") != "firing"), at).alias("at"), F.lit("firing").alias("status")),
+        F.struct(F.when((F.col("state") != "firing") & (F.col("_prev") == "firing"), at).alias("at"), F.lit("resolved").alias("status")),
+        F.struct(gone.alias("at"), F.lit("resolved").alias("status")))
+    s = s.withColumn("_c", F.explode(F.filter(changes, lambda c: c["at"].isNotNull())))
+    return s.withColumn(t, F.col("_c.at")).withColumn("status", F.col("_c.status")).drop("_prev", "_c", "_next", "_end")
 
 
 def route_alerts(firing: DataFrame, t: str = "eval_time") -> DataFrame:
-    """Receiver by severity; group by (alertname, severity); at most one
-    notification per group per repeat interval (epoch-aligned buckets in the
-    batch form)."""
+    """Receiver by severity; group by (alertname, severity); a group is
+    notified by its first alert and then by the first alert that comes at least
+    the repeat interval after its last notification.
+
+    The walk is over a group's distinct evaluation times (bounded by the
+    evaluation calendar, not by the alerts); alerts join their notification
+    afterwards.
+    """
     recv = F.lit(DEFAULT_ROUTE[0])
     rep = F.lit(DEFAULT_ROUTE[1])
     for sev, r, s in reversed(ROUTES):
         recv = F.when(F.col("severity") == sev, F.lit(r)).otherwise(recv)
         rep = F.when(F.col("severity") == sev, F.lit(s)).otherwise(rep)
+    keys = ["alertname", "severity"]
     f = firing.withColumn("receiver", recv).withColumn("repeat_s", rep)
-    slot = F.floor(epoch_us(t) / 1e6 / F.col("repeat_s"))
-    f = f.withColumn("_slot", slot)
-    return (f.groupBy("alertname", "severity", "receiver", "_slot")
+    due = F.col("repeat_s").cast("bigint") * 1_000_000
+    walk = f.groupBy(*keys, "repeat_s").agg(F.array_sort(F.collect_set(epoch_us(t))).alias("_times"))
+    chosen = F.aggregate("_times", F.array().cast("array<bigint>"), lambda acc, x: F.when(
+        (F.size(acc) == 0) | (x - F.element_at(acc, -1) >= due), F.concat(acc, F.array(x))).otherwise(acc))
+    f = f.join(walk.select(*keys, chosen.alias("_notified")), keys)
+    last = F.array_max(F.filter("_notified", lambda c: c <= epoch_us(t)))
+    return (f.withColumn("_at", last).groupBy(*keys, "receiver", "_at")
             .agg(F.min(t).alias("notify_time"), F.count(F.lit(1)).alias("n_alerts"),
                  F.array_sort(F.collect_set(F.col("labels"))).alias("labels"))
-            .drop("_slot"))
+            .drop("_at"))
 
 
 def metrics_long(req: DataFrame, length: str = "2 hours", slide: str = "1 hour",

@@ -54,8 +54,9 @@ def get_spark(master: str | None = None, app: str = "memberlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) a scratch folder is created.
+    On a cluster the setting points at shared storage and is used as is; when it
+    is unset there, this raises, as a machine-local folder would be lost with its
+    machine.  Only a ``local`` master (tests) gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="memberlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

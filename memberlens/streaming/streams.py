@@ -4,24 +4,30 @@
   table); timestamps are cast to ``timestamp`` and watermarked (Q21).
 * Windowed metrics reuse the batch functions of ``operators.monitoring``
   unchanged; they run in ``update`` mode into a ``foreachBatch`` sink that
-  appends (batch id, rows), and the result is the last version per key.  The
-  sink and checkpoint live under the session's ``spark.checkpoint.dir``, so a
-  restarted query resumes exactly.
-* Alert hold / throttle are ``applyInPandasWithState`` keyed by alert labels,
-  with event-time timeout so idle keys are evicted behind the watermark.
+  appends (batch id, rows), and the result is the last version per key.
+* Alert hold / throttle are ``applyInPandasWithState`` keyed by alert labels.
+  They hold rows back until the watermark has passed them and then take them in
+  event-time order, so rows that arrive out of order within the watermark give
+  what the batch form gives.  Event-time timeouts release held rows of keys that
+  stay silent; ``close_folder`` ends a replay.
+* Sinks and checkpoints live under ``base``, by default a fresh folder below the
+  session's ``spark.checkpoint.dir``.  A query that is to resume after a restart
+  must be given the same ``base`` again.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from contextlib import contextmanager
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.scalar import epoch_us, from_epoch_us
 from ..session import ensure_checkpoint_dir
@@ -68,7 +74,18 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set(key, old)
 
 
-def run_update(df: DataFrame, keys: list[str], tag: str, trigger_once: bool = True) -> DataFrame:
+def close_folder(spark: SparkSession, path: str, at: str, days: int = 3650) -> None:
+    """End a replayed folder: one more file with a row of nulls far in the future
+    of column ``at`` moves the watermark past all rows before it."""
+    schema = spark.read.parquet(path).schema
+    last = spark.read.parquet(path).agg(F.max(at).alias("t")).first()["t"]
+    if last is not None:
+        row = [last + timedelta(days=days) if f.name == at else None for f in schema.fields]
+        spark.createDataFrame([row], StructType([StructField(f.name, f.dataType, True) for f in schema.fields])) \
+             .coalesce(1).write.mode("append").parquet(path)
+
+
+def run_update(df: DataFrame, keys: list[str], tag: str, trigger_once: bool = True, base: str | None = None) -> DataFrame:
     """Run a streaming aggregate in update mode to completion and return the
     final version of each key as a batch DataFrame.
 
@@ -77,7 +94,7 @@ def run_update(df: DataFrame, keys: list[str], tag: str, trigger_once: bool = Tr
     the last version per key wins.
     """
     spark = df.sparkSession
-    base = scratch_path(spark, tag)
+    base = base or scratch_path(spark, tag)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -93,10 +110,10 @@ def run_update(df: DataFrame, keys: list[str], tag: str, trigger_once: bool = Tr
     return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
 
 
-def run_append(df: DataFrame, tag: str) -> DataFrame:
+def run_append(df: DataFrame, tag: str, base: str | None = None) -> DataFrame:
     """Run a streaming query in append mode to a parquet sink and read it back."""
     spark = df.sparkSession
-    base = scratch_path(spark, tag)
+    base = base or scratch_path(spark, tag)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     with state_partitions(spark):
         q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
@@ -122,65 +139,96 @@ def requests_from_events(e: DataFrame, watermark: str = "2 hours") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- L16 stream
-HOLD_STATE = "active_since timestamp, last_time timestamp"
+HELD = "times array<bigint>, flags array<boolean>, holds array<double>, severities array<string>, labels array<string>"
+HOLD_STATE = f"active bigint, last bigint, {HELD}"
 HOLD_OUT = ("alertname string, severity string, labels string, eval_time timestamp, "
             "active_since timestamp, state string")
 
 
-def _hold_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per (alertname, labels): walk evaluations in time order keeping the
-    active-since time; pending until the hold time has elapsed, then firing."""
-    if state.hasTimedOut:
+def _in_order(pdfs, state: GroupState, held: list, columns: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Rows that the watermark has passed, in event-time order, and those it has
+    not; ``held`` are the columns kept by earlier calls."""
+    parts = [pd.DataFrame(dict(zip(columns, map(list, held))))] if len(held[0]) else []
+    if not state.hasTimedOut:
+        parts += [p[columns].assign(eval_time=p["eval_time"].astype("datetime64[us]").astype("int64")) for p in pdfs if not p.empty]
+    rows = pd.concat(parts) if parts else pd.DataFrame({c: pd.Series(dtype="int64" if c == "eval_time" else object) for c in columns})
+    rows = rows.sort_values("eval_time", kind="stable")
+    passed = rows["eval_time"].astype("int64") < state.getCurrentWatermarkMs() * 1000
+    return rows[passed], rows[~passed]
+
+
+def _keep(state: GroupState, values: list, waiting: pd.DataFrame, forget_us: int | None) -> None:
+    """Store the state and wake up when the watermark reaches the first row held
+    back, or else ``forget_us``, from when on the state has no effect."""
+    if len(waiting) == 0 and forget_us is None:
         state.remove()
         return
-    active, last = (state.get if state.exists else (None, None))
-    rows = pd.concat([p for p in pdfs if not p.empty]).sort_values("eval_time")
-    out = []
-    for r in rows.itertuples(index=False):
-        if last is not None and r.eval_time <= last:
-            continue  # already seen (late duplicate)
-        if r.condition:
-            active = active if active is not None else r.eval_time
-            held = (r.eval_time - active).total_seconds()
-            out.append((r.alertname, r.severity, r.labels, r.eval_time, active,
-                        "firing" if held >= r.hold_s else "pending"))
-        else:
-            active = None
-        last = r.eval_time
-    state.update((active, last))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 6 * 3600 * 1000)
-    if out:
-        yield pd.DataFrame(out, columns=["alertname", "severity", "labels", "eval_time", "active_since", "state"])
-
-
-def hold_stream(evals: DataFrame) -> DataFrame:
+    state.update((*values, *[waiting[c].tolist() for c in waiting.columns]))
+    wake = int(waiting["eval_time"].min()) if len(waiting) else forget_us
+    state.setTimeoutTimestamp(max(wake // 1000, state.getCurrentWatermarkMs()) + 1)
+
+
+def make_hold(step_s: float) -> Callable:
+    """Hold of one (alertname, labels): ``operators.monitoring.hold`` with the
+    same ``step_s``; a state older than a step is forgotten, as a later
+    evaluation starts an island anyway."""
+    step = int(step_s * 1e6)
+    columns = ["eval_time", "condition", "hold_s", "severity", "labels"]
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        active, last, *held = state.get if state.exists else (None, None, [], [], [], [], [])
+        ready, waiting = _in_order(pdfs, state, held, columns)
+        if len(ready):
+            t = ready["eval_time"].astype("int64").to_numpy()
+            on = ready["condition"].astype(bool).to_numpy()
+            before = [last if last is not None else t[0], *t[:-1]]
+            begins = on & ((t - before > step) | ~pd.Series(on).shift(1, fill_value=active is not None).to_numpy())
+            since = pd.Series(pd.array([x if b else None for x, b in zip(t, begins)], "Int64"))
+            since = since.ffill().fillna(active if active is not None else 0).astype("int64")
+            firing = (t - since) / 1e6 >= ready["hold_s"].to_numpy(float)
+            out = pd.DataFrame({"alertname": key[0], "severity": ready["severity"].to_numpy(), "labels": ready["labels"].to_numpy(),
+                                "eval_time": pd.to_datetime(t, unit="us"), "active_since": pd.to_datetime(since.to_numpy(), unit="us"),
+                                "state": firing.map({True: "firing", False: "pending"}).to_numpy()})[on]
+            active, last = (int(since.iloc[-1]) if on[-1] else None), int(t[-1])
+            if len(out):
+                yield out
+        _keep(state, [active, last], waiting, last + step if active is not None else None)
+    return fn
+
+
+def hold_stream(evals: DataFrame, step_s: float) -> DataFrame:
     """L16 (stream): stateful hold keyed by (alertname, labels)."""
+    evals = evals.withColumn("hold_s", F.col("hold_s").cast("double")).withColumn("condition", F.coalesce("condition", F.lit(False)))
     return evals.groupBy("alertname", "labels").applyInPandasWithState(
-        _hold_fn, HOLD_OUT, HOLD_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        make_hold(step_s), HOLD_OUT, HOLD_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --------------------------------------------------------------------------- L19 stream
-ROUTE_STATE = "last_notify timestamp"
+ROUTE_STATE = "last_notify bigint, times array<bigint>, severities array<string>, labels array<string>"
 ROUTE_OUT = "alertname string, severity string, labels string, eval_time timestamp, receiver string"
 
 
 def make_throttle(receivers: dict[str, tuple[str, int]], default: tuple[str, int]) -> Callable:
+    """Throttle of one (alertname, severity), as in ``operators.monitoring.route_alerts``;
+    a notification is forgotten after the repeat interval, when it has no effect."""
+    columns = ["eval_time", "severity", "labels"]
+
     def fn(key, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        rows = pd.concat([p for p in pdfs if not p.empty]).sort_values("eval_time")
-        out = []
-        for r in rows.itertuples(index=False):
-            recv, rep = receivers.get(r.severity, default)
-            if last is None or (r.eval_time - last).total_seconds() >= rep:
-                out.append((r.alertname, r.severity, r.labels, r.eval_time, recv))
-                last = r.eval_time
-        state.update((last,))
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 24 * 3600 * 1000)
-        if out:
-            yield pd.DataFrame(out, columns=["alertname", "severity", "labels", "eval_time", "receiver"])
+        last, *held = state.get if state.exists else (None, [], [], [])
+        receiver, repeat_s = receivers.get(key[1], default)
+        ready, waiting = _in_order(pdfs, state, held, columns)
+        chosen, t = [], ready["eval_time"].astype("int64").to_numpy()
+        at = 0
+        while at < len(t):                               # one step per notification
+            at = at if last is None else max(at, int(t.searchsorted(last + repeat_s * 1_000_000)))
+            if at < len(t):
+                chosen.append(at)
+                last, at = int(t[at]), at + 1
+        if chosen:
+            out = ready.iloc[chosen]
+            yield pd.DataFrame({"alertname": key[0], "severity": out["severity"].to_numpy(), "labels": out["labels"].to_numpy(),
+                                "eval_time": pd.to_datetime(out["eval_time"].astype("int64").to_numpy(), unit="us"), "receiver": receiver})
+        _keep(state, [last], waiting, None if last is None else last + repeat_s * 1_000_000)
     return fn
 
 
@@ -192,47 +240,23 @@ def route_stream(firing: DataFrame, receivers: dict[str, tuple[str, int]],
 
 
 # --------------------------------------------------------------------------- L20 stream
-def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts") -> DataFrame:
+def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts", watermark: str = "6 hours",
+               base: str | None = None) -> DataFrame:
     """L20 (stream): silences longer than ``gap_s`` between consecutive events.
 
-    Each micro-batch is processed in ``foreachBatch`` with the batch form
-    (two-level lag split by minute) over the batch plus the carried last event
-    time of the previous batches (one value of state, stored next to the
-    output so a retried batch recomputes the same result).  Events older than
-    the carried time are late and dropped.
+    The stream keeps the first and the last event time of every slice of
+    ``gap_s`` seconds (an update-mode aggregate: late events inside the watermark
+    correct their slice).  No silence fits inside a slice, so all of them lie
+    between a slice's last event and the next slice's first one.
     """
     from ..operators.monitoring import prev_in_series
-    spark = stream.sparkSession
-    base = scratch_path(spark, tag)
-    out, st, ckpt = (os.path.join(base, p) for p in ("out", "state", "ckpt"))
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        us = epoch_us(ts)
-        ev = batch.select(us.alias("t_us"))
-        prev_state = None
-        if batch_id > 0:
-            try:
-                prev_state = spark.read.parquet(os.path.join(st, f"batch={batch_id - 1}")).first()
-            except Exception:  # noqa: BLE001 - no earlier state: first non-empty batch
-                prev_state = None
-        carried = prev_state["t_us"] if prev_state and prev_state["t_us"] is not None else None
-        if carried is not None:
-            ev = ev.where(F.col("t_us") >= F.lit(carried)).unionByName(
-                spark.createDataFrame([(carried,)], "t_us long"))
-        ev = ev.withColumn("_bucket", F.floor(F.col("t_us") / (60 * 1_000_000)))
-        p = prev_in_series(ev, [], "t_us", ["t_us"], "_bucket")
-        gap = (F.col("t_us") - F.col("prev_t_us")) / 1e6
-        p.where(gap > gap_s).select(
-            from_epoch_us("prev_t_us").alias("silent_from"),
-            from_epoch_us("t_us").alias("silent_to"), gap.alias("gap_s")) \
-            .write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
-        last = ev.agg(F.max("t_us").alias("t_us"))
-        last.write.mode("overwrite").parquet(os.path.join(st, f"batch={batch_id}"))
-
-    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt) \
-              .trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out).drop("batch")
+    slices = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark).groupBy(F.window(ts, f"{gap_s} seconds").alias("w")) \
+        .agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    seen = run_update(slices.select(F.col("w.start").alias("slice"), "first", "last"), ["slice"], tag, base=base)
+    ends = seen.select(F.explode(F.array(epoch_us("first"), epoch_us("last"))).alias("t_us")).distinct()
+    p = prev_in_series(ends.withColumn("_bucket", F.floor(F.col("t_us") / (3600 * 1_000_000))), [], "t_us", ["t_us"], "_bucket")
+    gap = (F.col("t_us") - F.col("prev_t_us")) / 1e6
+    return p.where(gap > gap_s).select(from_epoch_us("prev_t_us").alias("silent_from"), from_epoch_us("t_us").alias("silent_to"), gap.alias("gap_s"))
 
 
 def sessions(stream: DataFrame, gap: str, by: list[str] | None = None) -> DataFrame:

@@ -62,7 +62,7 @@ def test_windowed_counts_stream_equals_batch_with_late_data(spark, tmp_path):
 def test_alert_hold_stream_equals_batch(spark, tmp_path):
     req = load_requests(spark, SF_SMALL)
     ev = L.evaluate_rules(L.metrics_long(req), L.rules_frame(spark)).cache()
-    batch = L.hold(ev, ["alertname", "labels"]).where("condition") \
+    batch = L.hold(ev, ["alertname", "labels"], step_s=3600).where("condition") \
         .select("alertname", "labels", F.col("eval_time").cast("string").alias("t"), "state")
     evs = ev.select("alertname", "severity", "labels", F.col("eval_time").cast("timestamp").alias("eval_time"),
                     "condition", "hold_s")
@@ -74,11 +74,12 @@ def test_alert_hold_stream_equals_batch(spark, tmp_path):
     files = sorted(os.path.join(dp, f) for dp, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
     for i, f in enumerate(files):
         os.link(f, os.path.join(flat, f"f{i:03d}.parquet"))
+    ST.close_folder(spark, flat, "ts")
     schema = spark.read.parquet(flat).withColumnRenamed("ts", "eval_time").schema
     s = ST.folder_stream(spark, flat, spark.read.parquet(flat).schema, max_files=1) \
         .withColumnRenamed("ts", "eval_time").withWatermark("eval_time", "6 hours")
     assert schema.fieldNames() == s.columns
-    out = ST.run_append(ST.hold_stream(s), "t-hold") \
+    out = ST.run_append(ST.hold_stream(s, 3600), "t-hold") \
         .select("alertname", "labels", F.col("eval_time").cast("timestamp_ntz").cast("string").alias("t"), "state")
     assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, out.collect()))
 
@@ -107,7 +108,58 @@ def test_throttle_stream_one_notification_per_interval(spark):
         .withColumn("eval_time", F.col("t").cast("timestamp")).drop("t")
     path = ST.scratch_path(spark, "t-route")
     df.coalesce(1).write.parquet(path)          # one ordered file
+    ST.close_folder(spark, path, "eval_time")
     s = ST.folder_stream(spark, path, spark.read.parquet(path).schema).withWatermark("eval_time", "1 hour")
     out = ST.run_append(ST.route_stream(s, {"critical": ("critical-receiver", 900)}, ("log-receiver", 3600)), "t-r")
     minutes = sorted(r["eval_time"].minute for r in out.collect())
     assert minutes == [0, 15, 30]
+
+
+def _replay(spark, rows, schema, at, build, watermark="1 hour"):
+    """Each row a micro-batch of its own, in the given order, then the end."""
+    path = ST.scratch_path(spark, "t-replay")
+    for r in rows:
+        spark.createDataFrame([r], schema).withColumn(at, F.col(at).cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    ST.close_folder(spark, path, at)
+    s = ST.folder_stream(spark, path, spark.read.parquet(path).schema).withWatermark(at, watermark)
+    return ST.run_append(build(s), "t-replay-out")
+
+
+def test_hold_stream_takes_out_of_order_evaluations(spark):
+    rows = [("A", "warning", "x", f"2024-01-01 00:{m:02d}:00", True, 600.0) for m in (10, 5, 20)]
+    schema = "alertname string, severity string, labels string, eval_time string, condition boolean, hold_s double"
+    out = _replay(spark, rows, schema, "eval_time", lambda s: ST.hold_stream(s, 3600)).collect()
+    assert sorted((r.eval_time.minute, r.active_since.minute, r.state) for r in out) == [
+        (5, 5, "pending"), (10, 5, "pending"), (20, 5, "firing")]
+
+
+def test_throttle_stream_takes_out_of_order_firings(spark):
+    rows = [("A", "critical", "x", f"2024-01-01 00:{m:02d}:00") for m in (20, 0, 14, 16)]
+    build = lambda s: ST.route_stream(s, {"critical": ("critical-receiver", 900)}, ("log-receiver", 3600))
+    out = _replay(spark, rows, "alertname string, severity string, labels string, eval_time string", "eval_time", build).collect()
+    assert sorted(r.eval_time.minute for r in out) == [0, 16]
+
+
+def test_gap_stream_takes_late_events(spark):
+    path = ST.scratch_path(spark, "t-late")
+    for t in ("00:00", "02:00", "01:00", "02:05"):
+        spark.createDataFrame([(f"2024-01-01 {t}:00",)], "ts string").select(F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    got = ST.gap_stream(ST.folder_stream(spark, path, spark.read.parquet(path).schema), 1200.0)
+    assert sorted(r.gap_s for r in got.collect()) == [3600.0, 3600.0]
+
+
+def test_batch_hold_breaks_at_a_missing_evaluation(spark):
+    rows = [("A", "x", "2024-01-01 00:00:00", True), ("A", "x", "2024-01-02 00:00:00", True), ("B", "x", "2024-01-02 00:00:00", False)]
+    ev = spark.createDataFrame(rows, "alertname string, labels string, t string, condition boolean") \
+        .withColumn("eval_time", F.col("t").cast("timestamp")).withColumn("hold_s", F.lit(0.0))
+    st = L.hold(ev, ["alertname", "labels"], step_s=3600).withColumn("hold_s", F.lit(0.0))
+    assert {(r.eval_time, r.active_since) for r in st.where("alertname = 'A'").collect()} == {(r.eval_time, r.eval_time) for r in st.where("alertname = 'A'").collect()}
+    tr = L.alert_transitions(st, ["alertname", "labels"], step_s=3600)
+    assert sorted((str(r.eval_time), r.status) for r in tr.collect()) == [
+        ("2024-01-01 00:00:00", "firing"), ("2024-01-01 01:00:00", "resolved"), ("2024-01-02 00:00:00", "firing")]
+
+
+def test_batch_throttle_keeps_the_repeat_interval(spark):
+    rows = [("A", "critical", "x", f"2024-01-01 00:{m:02d}:00") for m in (14, 16, 29, 31)]
+    f = spark.createDataFrame(rows, "alertname string, severity string, labels string, t string").withColumn("eval_time", F.col("t").cast("timestamp"))
+    assert sorted(r.notify_time.minute for r in L.route_alerts(f).collect()) == [14, 29]
