@@ -59,16 +59,12 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per column (long form)."""
-    parts = []
-    for c in cols:
-        q = quantiles(df, c, [0.25, 0.5, 0.75], exact)
-        parts.append(df.agg(
-            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"), q.alias("_q"), F.max(c).cast("double").alias("max"))
-            .select(F.lit(c).alias("column_name"), "count", "mean", "std", "min",
-                    F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                    F.col("_q")[2].alias("p75"), "max"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    one = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+        F.min(c).cast("double").alias("min"), quantiles(df, c, [0.25, 0.5, 0.75], exact).alias("_q"),
+        F.max(c).cast("double").alias("max")) for c in cols]).alias("_s"))
+    return one.select(F.inline("_s")).select("column_name", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
+                                             F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
 
 
 def target_correlation(df: DataFrame, feats: list[str], y: str) -> DataFrame:
@@ -107,9 +103,10 @@ def first_by(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
 def best_by(df: DataFrame, metric: str, mode: str = "max", name: str = "model",
             by: list[str] | None = None) -> DataFrame:
     """Arg-max / arg-min row by metric, ties broken by name."""
-    order = F.col(metric).desc() if mode == "max" else F.col(metric).asc()
-    w = Window.partitionBy(*(by or [F.lit(1)])).orderBy(order, F.col(name))
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    lowest = F.col(metric).cast("double") if mode != "max" else -F.col(metric).cast("double")
+    row = F.struct(*df.columns)
+    best = F.min_by(row, F.struct(F.col(metric).isNull().alias("none"), lowest.alias("m"), F.col(name)))
+    return (df.groupBy(*by) if by else df).agg(best.alias("_b")).select("_b.*")
 
 
 def alert_message(df: DataFrame, key: str, flag: str, prefix: str = "units at risk: ") -> DataFrame:

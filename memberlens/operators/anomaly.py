@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import with_scalars
 from ..session import cut_lineage
 from .ml import pop_scale
+from .quantile import exact_quantile
 
 
 # Distances are ranked after rounding to 9 digits so that ties (duplicates,
@@ -74,6 +75,9 @@ def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, gri
 
     Ties at equal distance are broken by neighbour id.  Each round only
     handles the still-unresolved points; the radius grows by ``growth``.
+    Equal vectors are one point of the search, so a crowd of copies costs
+    nothing.  Vectors with a NULL or NaN have no neighbours and are not
+    returned; should any other be left after ``max_rounds``, this raises.
     The grid uses the ``grid_dims`` dimensions with the most distinct values
     (a sketch count), so discrete features do not make coarse, hot cells;
     exactness holds for any subset of dimensions.
@@ -86,43 +90,46 @@ def knn(df: DataFrame, id_col: str, v: str, k: int, r0: float | None = None, gri
     else:
         dims = list(range(d))
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=m)]
-    pts = df.select(F.col(id_col).alias("id"), F.col(v).alias("v")).cache()
+    whole = F.col(v).isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
+    pts = df.where(whole).select(F.col(id_col).alias("id"), F.col(v).alias("v")).cache()
     total = pts.count()
     if total <= k:
         raise ValueError("need more than k points")
-    pending = pts
+    # equal vectors are searched once, with the k + 1 smallest ids that any list can need
+    first = pts.withColumn("_o", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("_o") <= k + 1)
+    vecs = cut_lineage(first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    pending = vecs.select("v")
     parts = []
     if r0 is None:  # spacing of k points in the unit-variance cube
         r0 = 2.0 * math.sqrt(d) * (k / total) ** (1.0 / d)
     r = r0
     for _ in range(max_rounds):
         cell = F.array(*[F.floor(F.col("v")[i] / F.lit(r)).cast("long") for i in dims])
-        data = pts.select(F.col("id").alias("nbr"), F.col("v").alias("nv"), cell.alias("cell"))
-        q = pending.select("id", "v", cell.alias("qc"))
-        q = q.select("id", "v", F.explode(F.array(*[
+        data = vecs.select("ids", F.col("v").alias("nv"), cell.alias("cell"))
+        q = pending.select("v", cell.alias("qc"))
+        q = q.select("v", F.explode(F.array(*[
             F.array(*[F.col("qc")[i] + o[i] for i in range(m)]) for o in offsets])).alias("cell"))
-        cand = (q.join(data, "cell").where(F.col("id") != F.col("nbr"))
-                .select("id", "nbr", F.round(euclid(F.col("v"), F.col("nv")), DIST_DIGITS).alias("dist"))
-                .where(F.col("dist") <= r))
-        w = Window.partitionBy("id").orderBy("dist", "nbr")
-        ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        cnt = ranked.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
-        ok = cnt.where(F.col("c") >= k).select("id")
+        cand = (q.join(data, "cell")
+                .select("v", "ids", F.round(euclid(F.col("v"), F.col("nv")), DIST_DIGITS).alias("dist"))
+                .where(F.col("dist") <= r).select("v", "dist", F.explode("ids").alias("nbr")))
+        w = Window.partitionBy("v").orderBy("dist", "nbr")
+        ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k + 1)
+        near = ranked.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("rank", "dist", "nbr"))).alias("near"))
         # each round is written out (reliable checkpoint): the plan of round
         # n does not carry rounds 1..n-1, and lost executors recompute one round
-        parts.append(cut_lineage(ranked.join(ok, "id", "left_semi")))
-        pending = cut_lineage(pending.join(ok, "id", "left_anti"))
+        parts.append(cut_lineage(near.where(F.size("near") > k)))
+        pending = cut_lineage(pending.join(parts[-1].select("v"), "v", "left_anti"))
         if pending.isEmpty():
             break
         r *= growth
+    else:
+        raise RuntimeError(f"{pending.count()} vectors have no {k} neighbours within radius {r}")
     done = parts[0]
     for p_ in parts[1:]:
         done = done.unionByName(p_)
-    pts.unpersist()
-    return done.select("id", "nbr", "dist", "rank")
-
-
-EXACT_QUANTILE_MAX_ROWS = 5_000_000
+    others = F.slice(F.filter("near", lambda x: x["nbr"] != F.col("id")), 1, k)
+    out = pts.join(done, "v").select("id", F.posexplode(others).alias("_p", "_n"))
+    return out.select("id", F.col("_n.nbr").alias("nbr"), F.col("_n.dist").alias("dist"), (F.col("_p") + 1).alias("rank"))
 
 
 def lof(df: DataFrame, id_col: str, feats: list[str], k: int = 3, contamination: float = 0.15,
@@ -131,8 +138,8 @@ def lof(df: DataFrame, id_col: str, feats: list[str], k: int = 3, contamination:
 
     lrd = 1 / (mean reach-dist + 1e-10), reach-dist = max(k-dist(o), d);
     lof = mean lrd(o) / lrd(p); flagged when lof > its (1 - contamination)
-    quantile (strict, linear interpolation).  The quantile is exact up to
-    ``EXACT_QUANTILE_MAX_ROWS`` points and a fixed-memory sketch beyond.
+    quantile (strict, linear interpolation), which is exact at every size.  A row
+    with a NULL or NaN feature has no neighbours: its score is NULL, its flag 0.
     """
     base = pop_scale(df, feats, suffix="__z") if scale else df.select("*", *[F.col(c).alias(c + "__z") for c in feats])
     pts = base.select(F.col(id_col), vec([c + "__z" for c in feats]).alias("_v"))
@@ -150,15 +157,10 @@ def lof(df: DataFrame, id_col: str, feats: list[str], k: int = 3, contamination:
     lrd_n = lrd.select(F.col("id").alias("nbr"), F.col("lrd").alias("lrd_nbr"))
     lofv = (nn.join(lrd_n, "nbr").groupBy("id").agg(mean_by_rank("lrd_nbr").alias("m"))
             .join(lrd, "id").select("id", (F.col("m") / F.col("lrd")).alias("lof_score")))
-    lofv = lofv.cache()
-    q = 1.0 - contamination
-    exact = lofv.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
-    thr = lofv.agg((F.percentile("lof_score", q) if exact
-                    else F.percentile_approx("lof_score", q, 1_000_000)).alias("thr"))
-    out = with_scalars(lofv, thr, "_t").select(
-        F.col("id").alias(id_col), "lof_score",
-        (F.col("lof_score") > F.col("_t.thr")).cast("int").alias("lof_anomaly"))
-    return df.join(out, id_col)
+    lofv = cut_lineage(lofv)
+    thr = exact_quantile(lofv, "lof_score", 1.0 - contamination)
+    out = lofv.select(F.col("id").alias(id_col), "lof_score", (F.col("lof_score") > F.lit(thr)).cast("int").alias("lof_anomaly"))
+    return df.join(out, id_col, "left").withColumn("lof_anomaly", F.coalesce("lof_anomaly", F.lit(0)))
 
 
 # ----------------------------------------------------------------------- J14 isolation forest
@@ -225,7 +227,8 @@ def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int =
     spark = df.sparkSession
     base = pop_scale(df, feats, suffix="__z")
     zc = [c + "__z" for c in feats]
-    pts = base.select(F.col(id_col), *zc).cache()     # sampled, counted and scored: build once
+    # sampled, counted and scored: build once; a missing feature counts as the mean
+    pts = base.select(F.col(id_col), *[F.coalesce(F.nanvl(F.col(c), F.lit(None).cast("double")), F.lit(0.0)).alias(c) for c in zc]).cache()
     n = pts.count()
     psi = int(min(max_samples, n))
     frac = min(1.0, 4.0 * psi / max(n, 1))
@@ -266,8 +269,7 @@ def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int =
 
     sc = pts.mapInPandas(score, T.StructType([pts.schema[id_col], T.StructField("iso_score", T.DoubleType())])) \
             .cache()                                   # (id, score): read by the threshold and the output
-    off = sc.agg(F.percentile_approx("iso_score", contamination, 100000).alias("off"))
-    sc = with_scalars(sc, off, "_o").select(
-        id_col, (F.col("iso_score") - F.col("_o.off")).alias("iso_score"))
+    off = exact_quantile(sc, "iso_score", contamination)
+    sc = sc.select(id_col, (F.col("iso_score") - F.lit(off)).alias("iso_score"))
     sc = sc.withColumn("iso_anomaly", (F.col("iso_score") < 0).cast("int"))
     return df.join(sc, id_col)

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col_, safe_ratio, with_scalars
+from ..functions.scalar import col_, safe_ratio
+from .quantile import exact_quantile
 
 
 def project(df: DataFrame, cols: list[str], rename: dict[str, str] | None = None) -> DataFrame:
@@ -120,19 +121,19 @@ def quantiles(df: DataFrame, col: str, probs: list[float], exact: bool = True,
 def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, exact: bool = True) -> DataFrame:
     """Rows outside [q1 - k*iqr, q3 + k*iqr], flagged.
 
-    The fences are a 1-row aggregate joined back by broadcast (one row: a
-    proven size bound).
+    Exact quartiles come from histogram passes at any size; ``exact=False``
+    takes the fixed-memory sketch.
     """
-    q = df.agg(quantiles(df, col, [0.25, 0.75], exact).alias("_q"))
-    fences = q.select(F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
-    j = with_scalars(df, fences)
-    iqr = F.col("_s.q3") - F.col("_s.q1")
-    lo = F.col("_s.q1") - k * iqr
-    hi = F.col("_s.q3") + k * iqr
-    return (j.withColumn("lower_fence", lo).withColumn("upper_fence", hi)
+    if exact:
+        q1, q3 = exact_quantile(df, col, 0.25), exact_quantile(df, col, 0.75)
+    else:
+        q1, q3 = df.agg(quantiles(df, col, [0.25, 0.75], False)).first()[0] or (None, None)
+    known = q1 is not None
+    lo = F.lit(q1 - k * (q3 - q1) if known else None).cast("double")
+    hi = F.lit(q3 + k * (q3 - q1) if known else None).cast("double")
+    return (df.withColumn("lower_fence", lo).withColumn("upper_fence", hi)
             .withColumn("is_outlier", ((F.col(col) < F.col("lower_fence"))
-                                       | (F.col(col) > F.col("upper_fence"))).cast("int"))
-            .drop("_s"))
+                                       | (F.col(col) > F.col("upper_fence"))).cast("int")))
 
 
 def all_true(*conds):

@@ -28,9 +28,11 @@ from ..functions.scalar import with_scalars
 
 # ----------------------------------------------------------------------- J1
 def pop_stats(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Mean and population std per column (1 row)."""
-    return df.agg(*[F.avg(c).alias(f"{c}__mean") for c in cols],
-                  *[F.stddev_pop(c).alias(f"{c}__std") for c in cols])
+    """Mean and population std per column (1 row); NaN counts as NULL."""
+    kinds = dict(df.dtypes)
+    known = {c: F.nanvl(F.col(c), F.lit(None).cast("double")) if kinds.get(c) in ("double", "float") else F.col(c) for c in cols}
+    return df.agg(*[F.avg(known[c]).alias(f"{c}__mean") for c in cols],
+                  *[F.stddev_pop(known[c]).alias(f"{c}__std") for c in cols])
 
 
 def pop_scale(df: DataFrame, cols: list[str], stats: DataFrame | None = None,

@@ -236,10 +236,11 @@ def freshness(df: DataFrame, ts: str, by: list[str], now_col) -> DataFrame:
 
 
 def feature_stats(df: DataFrame, feats: list[str], by: str) -> DataFrame:
-    """Current mean / population std per feature per batch (long form)."""
-    parts = [df.groupBy(by).agg(F.lit(f).alias("feature"), F.avg(f).alias("cur_mean"),
-                                F.stddev_pop(f).alias("cur_std")) for f in feats]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Current mean / population std per feature per batch (long form): one wide
+    aggregate, then a row per feature."""
+    wide = df.groupBy(by).agg(F.array(*[F.struct(F.lit(f).alias("feature"), F.avg(f).alias("cur_mean"),
+                                                 F.stddev_pop(f).alias("cur_std")) for f in feats]).alias("_s"))
+    return wide.select(by, F.inline("_s"))
 
 
 def drift_score(stats: DataFrame, ref: DataFrame) -> DataFrame:

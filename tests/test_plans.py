@@ -33,3 +33,9 @@ def test_feature_build_partitions_by_unit(spark):
     plan = _plan(spark, "feature_panel")
     assert "hashpartitioning(unit" in plan
     assert "Exchange SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("name", ["promote", "registry_report", "gate", "best_runs", "inhibit_anti", "alert_transitions", "describe",
+                                  "drift_score"])
+def test_inputs_are_scanned_a_few_times(spark, name):
+    assert _plan(spark, name).count("FileScan") <= 6

@@ -205,3 +205,54 @@ def test_cleaning_helpers(spark):
     assert [r["g"] for r in g] == [0.0, 20.0] and not g[0]["f"]
     assert spark.range(1).select(S.season_year(F.lit("2023/2024")).alias("y"),
                                  S.season_label(F.lit(2023)).alias("s")).first() == (2023, "2023/2024")
+
+
+# --- exact quantiles and neighbours at any size
+
+@pytest.mark.parametrize("q", [0.0, 0.15, 0.5, 0.85, 1.0])
+def test_exact_quantile_equals_numpy(spark, q, monkeypatch):
+    from memberlens.operators import quantile as Q
+    monkeypatch.setattr(Q, "FEW", 8)
+    monkeypatch.setattr(Q, "BUCKETS", 7)
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=500), np.r_[np.zeros(300), rng.lognormal(8, 6, 200)], np.full(40, 2.5), np.array([7.0]), np.r_[-1e300, 1e300, 0.0]):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double").where("v is null or not isnan(v)")
+        assert Q.exact_quantile(df, "v", q) == pytest.approx(np.quantile(values, q), rel=1e-12)
+    assert Q.exact_quantile(df.where("v > 1e301"), "v", q) is None
+
+
+def test_lof_keeps_rows_with_missing_features(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(40, 2)))]
+    rows += [(100, float("nan"), 0.0), (101, None, 1.0)]
+    out = {r["id"]: r for r in anomaly_lof(spark.createDataFrame(rows, "id int, a double, b double"))}
+    assert len(out) == 42 and all(out[i]["lof_score"] is None and out[i]["lof_anomaly"] == 0 for i in (100, 101))
+    assert sum(r["lof_score"] is not None for r in out.values()) == 40
+
+
+def anomaly_lof(df):
+    from memberlens.operators.anomaly import lof
+    return lof(df, "id", ["a", "b"], k=3).collect()
+
+
+def test_knn_with_many_equal_vectors_is_exact(spark):
+    from memberlens.operators.anomaly import knn
+    rng = np.random.default_rng(2)
+    pts = np.r_[np.zeros((30, 2)), np.ones((2, 2)), rng.normal(size=(40, 2)).round(1) * 3]
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id int, v array<double>")
+    got = {(r["id"], r["rank"]): (r["nbr"], r["dist"]) for r in knn(df, "id", "v", 3).collect()}
+    for i, p in enumerate(pts):
+        want = sorted((round(float(np.linalg.norm(p - q)), 9), j) for j, q in enumerate(pts) if j != i)[:3]
+        assert [got[i, k + 1] for k in range(3)] == [(j, pytest.approx(d)) for d, j in want]
+
+
+def test_bisecting_kmeans_gives_three_clusters(spark):
+    import __spark_entry__ as E
+    assert E.queries()["bisecting_kmeans"](spark, "/root/testdata/sf0.001").count() == 3
+
+
+def test_fingerprint_tells_null_places_apart(spark):
+    from memberlens.sources.tables import fingerprint
+    a = fingerprint(spark.createDataFrame([(1, None)], "a int, b int")).first()
+    b = fingerprint(spark.createDataFrame([(None, 1)], "a int, b int")).first()
+    assert a["content_hash"] != b["content_hash"]
