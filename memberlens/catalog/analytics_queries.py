@@ -576,6 +576,19 @@ def naive_backtest(spark, sf_dir):
     return bt.join(TS.naive_forecast(p).select("unit", "forecast"), "unit")
 
 
+@query("ar1_backtest", doubles=("y", "pred"), sql=f"""
+WITH {PANEL_CTE},
+a AS (SELECT unit, period, CAST(members AS DOUBLE) AS y, LAG(CAST(members AS DOUBLE)) OVER (PARTITION BY unit ORDER BY period) AS prev FROM panel),
+b AS (SELECT *, y - prev AS d FROM a),
+c AS (SELECT *, LAG(d) OVER (PARTITION BY unit ORDER BY period) AS d1 FROM b),
+e AS (SELECT *, SUM(d * d1) OVER w / NULLIF(SUM(CASE WHEN d IS NOT NULL THEN d1 * d1 END) OVER w, 0) AS phi FROM c
+      WINDOW w AS (PARTITION BY unit ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT unit, period, y, CASE WHEN phi IS NOT NULL THEN GREATEST(0.0, prev + phi * d1) ELSE prev END AS pred FROM e WHERE prev IS NOT NULL""")
+def ar1_backtest(spark, sf_dir):
+    """Rolling-origin AR(1) backtest of every unit."""
+    return TS.backtest(load_panel(spark, sf_dir), model="ar1").select("unit", "period", "y", "pred")
+
+
 @query("residual_hist", doubles=("bin_lo", "bin_hi"), sql=f"""
 WITH {_NAIVE_BT_CTE},
 r AS (SELECT y - pred AS e FROM bt_naive),

@@ -16,13 +16,14 @@ from ..operators import ml as ML
 from ..operators import monitoring as L
 from ..operators import timeseries as TS
 from ..operators import windows as W
-from ..plans.panel import load_panel
+from ..plans.panel import load_panel, load_requests
+from ..session import cut_lineage
 from ..sources import tables as A
 from . import ledger_queries as LQ
 from . import monitoring_queries as MQ
 from .analytics_queries import _FC_CTE, _forecasts_long
 from .registry import query
-from .sqlparts import FEATURES_CTE, PANEL_CTE, sig_sql
+from .sqlparts import FEATURES_CTE, PANEL_CTE, REQUESTS_CTE, sig_sql
 
 # ----------------------------------------------------------------------------- A
 
@@ -230,6 +231,84 @@ def active_alerts(spark, sf_dir):
                                                 F.col("missing_ratio").alias("value")))
 
 
+_PERIOD_END = "make_timestamp(period + 1, 1, 1, 0, 0, 0)"
+_MODEL_METRICS_CTE = f"""{FEATURES_CTE},{MQ._HEALTH_PARTS},{MQ._DRIFT_PARTS},{REQUESTS_CTE},
+miss AS (""" + "\nUNION ALL\n".join(
+    f"SELECT period, '{c}' AS feature, COUNT(*) FILTER (WHERE {c} IS NULL) / CAST(COUNT(*) AS DOUBLE) AS r FROM feat0 GROUP BY period"
+    for c in MQ._MISS_FEATS) + f"""),
+trig AS (SELECT period, 'drift' AS reason FROM dr WHERE drift_score > 0.3
+         UNION ALL SELECT period, 'accuracy_drop' FROM deg WHERE accuracy_degradation = 1),
+hh AS (SELECT endpoint, h, LAG(h) OVER (PARTITION BY endpoint ORDER BY h) AS p
+       FROM (SELECT DISTINCT endpoint, date_trunc('hour', ts) AS h FROM requests)),
+down AS (SELECT endpoint, unnest(generate_series(p + INTERVAL 1 HOUR, h - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS t FROM hh WHERE h > p + INTERVAL 1 HOUR),
+ml AS (
+  SELECT 'accuracy_degradation' AS metric, model AS labels, {_PERIOD_END} AS eval_time, CAST(accuracy_degradation AS DOUBLE) AS value FROM deg
+  UNION ALL SELECT 'accuracy_delta', model, {_PERIOD_END}, accuracy_delta FROM deg
+  UNION ALL SELECT 'confidence_degradation', model, {_PERIOD_END}, confidence_degradation FROM deg
+  UNION ALL SELECT 'drift_detected', feature, {_PERIOD_END}, CAST(drift_score > 0.3 AS INTEGER) FROM dr
+  UNION ALL SELECT 'drift_score', feature, {_PERIOD_END}, drift_score FROM dr
+  UNION ALL SELECT 'missing_ratio', feature, {_PERIOD_END}, r FROM miss
+  UNION ALL SELECT 'retraining_increase', reason, {_PERIOD_END}, COUNT(*) FROM trig GROUP BY reason, period
+  UNION ALL SELECT 'freshness_s', event_type, (SELECT MAX(ts) FROM events), (epoch_us((SELECT MAX(ts) FROM events)) - epoch_us(MAX(ts))) / 1e6
+            FROM events GROUP BY event_type
+  UNION ALL SELECT 'up', endpoint, t, 0 FROM down)"""
+
+
+def model_metrics(spark, sf_dir):
+    """Model, drift, data and target metrics in the rule engine's long form:
+    one evaluation per period (at its end); data age at the last event; target
+    down (0) for every hour without a request between two hours with requests."""
+    f_all = W.build_features(load_panel(spark, sf_dir), drop_first=False)
+    f = f_all.where(F.col("members_lag1").isNotNull())
+    end = F.make_timestamp_ntz(F.col("period") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+
+    def long(df, labels, **metrics):
+        rows = F.array(*[F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()])
+        return df.select(F.col(labels).alias("labels"), end.alias("eval_time"), F.inline(rows)).select("metric", "labels", "eval_time", "value")
+    dr = cut_lineage(L.drift_score(L.feature_stats(f, MQ._DRIFT_FEATS, "period"), L.reference_frame(spark)))
+    dg = cut_lineage(L.degradation(MQ._model_health(spark, sf_dir), L.baselines_frame(spark)))
+    trig = dr.where("drift_detected = 1").select("period", F.lit("drift").alias("reason")).unionByName(
+        dg.where("accuracy_degradation = 1").select("period", F.lit("accuracy_drop").alias("reason")))
+    trig = trig.groupBy("reason", "period").agg(F.count(F.lit(1)).alias("n"))
+    ev = A.read_table(spark, sf_dir, "events").select("ts", "event_type")
+    last = ev.agg(F.max("ts").alias("now"))
+    age = S.with_scalars(L.freshness(ev, "ts", ["event_type"], last.select("now").scalar()), last, "_now")
+    hours = load_requests(spark, sf_dir).select("endpoint", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h")).distinct()
+    hour = F.expr("INTERVAL 1 HOUR")
+    down = hours.withColumn("p", F.lag("h", 1).over(Window.partitionBy("endpoint").orderBy("h"))).where(F.col("h") > F.col("p") + hour) \
+        .select("endpoint", F.explode(F.sequence(F.col("p") + hour, F.col("h") - hour, hour)).alias("eval_time"))
+    return (long(dg, "model", accuracy_degradation=F.col("accuracy_degradation"), accuracy_delta=F.col("accuracy_delta"),
+                 confidence_degradation=F.col("confidence_degradation"))
+            .unionByName(long(dr, "feature", drift_detected=F.col("drift_detected"), drift_score=F.col("drift_score")))
+            .unionByName(long(L.missing_ratio(f_all, MQ._MISS_FEATS, "period"), "feature", missing_ratio=F.col("missing_ratio")))
+            .unionByName(long(trig, "reason", retraining_increase=F.col("n")))
+            .unionByName(age.select(F.lit("freshness_s").alias("metric"), F.col("event_type").alias("labels"),
+                                    F.col("_now.now").alias("eval_time"), F.col("freshness_s").alias("value")))
+            .unionByName(down.select(F.lit("up").alias("metric"), F.col("endpoint").alias("labels"), "eval_time", F.lit(0.0).alias("value"))))
+
+
+@query("model_alert_rules", doubles=("value", "threshold"), sql=f"""
+WITH {_MODEL_METRICS_CTE}
+SELECT rules.alertname, rules.severity, ml.labels, ml.eval_time, CAST(ml.value AS DOUBLE) AS value, rules.threshold
+FROM ml JOIN {MQ._RULES_SQL} ON ml.metric = rules.metric
+WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold WHEN '>=' THEN value >= threshold
+              WHEN '<=' THEN value <= threshold WHEN '==' THEN value = threshold WHEN '!=' THEN value <> threshold END""")
+def model_alert_rules(spark, sf_dir):
+    """The rules on model, drift, data and target metrics that hold (the
+    request rules are ``alert_rules``)."""
+    ev = L.evaluate_rules(model_metrics(spark, sf_dir), L.rules_frame(spark))
+    return ev.where("condition").select("alertname", "severity", "labels", "eval_time", "value", "threshold")
+
+
+@query("model_status", doubles=("value",), sql=f"""
+WITH {_MODEL_METRICS_CTE}
+SELECT metric, labels, MAX(eval_time) AS as_of, CAST(arg_max(value, eval_time) AS DOUBLE) AS value FROM ml
+WHERE value IS NOT NULL GROUP BY metric, labels""")
+def model_status(spark, sf_dir):
+    """Latest value of every model, drift and data gauge."""
+    return L.status_snapshot(model_metrics(spark, sf_dir).where("value is not null"), ["metric", "labels"])
+
+
 # ----------------------------------------------------------------------------- I8 / I11
 
 @query("forecast_actions", doubles=("real", "forecast", "delta", "total_variation_pct"), sql=f"""

@@ -68,12 +68,13 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
 
 
 def target_correlation(df: DataFrame, feats: list[str], y: str) -> DataFrame:
-    """Pearson correlation of every feature with the target, one pass."""
+    """Pearson correlation of every feature with the target, one pass,
+    sorted by strength (F2)."""
     wide = df.agg(*[F.corr(F.col(f).cast("double"), F.col(y).cast("double")).alias(f"_c{i}")
                     for i, f in enumerate(feats)])
     stack = "stack({}, {}) as (feature, corr)".format(
         len(feats), ", ".join(f"'{f}', _c{i}" for i, f in enumerate(feats)))
-    return wide.selectExpr(stack)
+    return wide.selectExpr(stack).orderBy(F.abs("corr").desc_nulls_last(), "feature")
 
 
 def grouped_metrics(df: DataFrame, y: str, p: str, by: str = "unit") -> DataFrame:

@@ -299,7 +299,7 @@ def importances(model, feats: list[str], spark) -> DataFrame:
     """Feature importances of a fitted tree pipeline, sorted."""
     imp = model.stages[-1].featureImportances.toArray()
     return spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)],
-                                 "feature string, importance double")
+                                 "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
 # ----------------------------------------------------------------------- clustering

@@ -142,8 +142,10 @@ def backtest(panel: DataFrame, y: str = "members", unit: str = "unit", period: s
     """Expanding-origin backtest: predict each point from earlier points.
 
     naive = previous value; mean = mean of all earlier values; drift =
-    previous + mean earlier change.  Closed forms over
-    ``rowsBetween(unboundedPreceding, -1)``; first row has no prediction.
+    previous + mean earlier change; ar1 = previous + phi * last change with phi
+    fitted on the earlier changes only, at least 0, naive while phi is undefined.
+    Closed forms over ``rowsBetween(unboundedPreceding, -1)``; first row has no
+    prediction.
     """
     w = _w(unit, period)
     past = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -157,6 +159,14 @@ def backtest(panel: DataFrame, y: str = "members", unit: str = "unit", period: s
         n_prev = F.count(yy).over(past)
         first = F.first(yy).over(past)
         pred = F.when(n_prev >= 2, prev + (prev - first) / (n_prev - 1)).otherwise(prev)
+    elif model == "ar1":
+        d = yy - F.lag(yy, 1).over(w)
+        x = panel.select(unit, period, yy.alias("y"), F.lag(yy, 1).over(w).alias("prev"), d.alias("d"))
+        x = x.select("*", F.lag("d", 1).over(w).alias("d1"))
+        phi = F.sum(F.col("d") * F.col("d1")).over(past) / F.nullif(F.sum(F.when(F.col("d").isNotNull(), F.col("d1") * F.col("d1"))).over(past), F.lit(0.0))
+        step = F.greatest(F.lit(0.0), F.col("prev") + phi * F.col("d1"))
+        pred = F.when(phi.isNotNull(), step).otherwise(F.col("prev"))
+        return x.select(unit, period, "y", pred.alias("pred")).where(F.col("pred").isNotNull()).withColumn("model", F.lit(model))
     else:
         raise ValueError(model)
     return (panel.select(unit, period, yy.alias("y"), pred.alias("pred"))
