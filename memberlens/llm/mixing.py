@@ -11,6 +11,8 @@ from .common import SPACE, cut, own_columns
 WEIGHTS = (5, 2, 1)
 #: A source is repeated at most so many times.
 MAX_EPOCHS = 3
+#: The sources' targets are broadcast up to so many bytes.
+BROADCAST_BYTES = 16 << 20
 #: The sampling hash has HASH_BITS bits; each histogram splits LEVEL_BITS of them.
 HASH_BITS, LEVEL_BITS = 60, 10
 
@@ -126,8 +128,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                .withColumn("budget", F.col("target") - F.col("base") * F.col("source_size")))
     limits = thresholds(slim, plan.filter("budget > 0").select("source", F.col("budget")))
     plan = plan.join(limits.select(F.col("source").alias("ts"), "threshold"), F.col("source").eqNullSafe(F.col("ts")), "left")
-    # cut: an exchange of its own, so that AQE can broadcast it or split a hot source
     p = cut(plan.select(F.col("source").alias("ps"), "source_size", "target", "base", "threshold"))
+    n, held = p.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("ps")), F.lit(0))).first()
+    if 64 * n + held <= BROADCAST_BYTES:        # else the exchanges on either side let AQE split a hot source
+        p = F.broadcast(p)
     j = d.join(p, F.col("source").eqNullSafe(F.col("ps")))
     copies = F.col("base") + F.when(F.col("u") <= F.col("threshold"), F.lit(1)).otherwise(F.lit(0))
     j = j.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
