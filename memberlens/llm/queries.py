@@ -154,7 +154,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), where=training_rows("doc_id"))
     scored = score_toxicity(docs, model, keep=["doc_id"])
     return scored.select("doc_id", (~training_rows("doc_id")).alias("held_out"), "severity", "p_toxic",
-                         (F.col("p_toxic") >= 0.5).cast("int").alias("toxic"))
+                         (F.col("p_toxic") >= model["decision"]).cast("int").alias("toxic"))
 
 
 @query("op5_embedding_pq", """

@@ -89,6 +89,17 @@ def severity(z: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return above.sum(1), above[:, 0]
 
 
+def best_threshold(p: np.ndarray, positive: np.ndarray, weight: np.ndarray) -> float:
+    """The probability from which on rows count as positive: the middle of the gap
+    in ``p`` at which the weighted F1 is largest."""
+    order = np.argsort(-p, kind="stable")
+    p, hit = p[order], (weight * positive)[order].cumsum()
+    f1 = 2 * hit / (weight[order].cumsum() + hit[-1])
+    ends = np.flatnonzero(np.r_[p[1:] != p[:-1], True])
+    at = ends[np.argmax(f1[ends])]
+    return float((p[at] + (p[at + 1] if at + 1 < len(p) else 0.0)) / 2)
+
+
 def split_grades(present: list[np.ndarray], label: np.ndarray) -> np.ndarray:
     """Grades 0, 1, 2 from labels 0, 1: a positive row is grade 2 when its share of
     features that only positive rows have is above their median."""
@@ -111,14 +122,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     text is telling (``split_grades``).  Of each label value the ``sample_rows``
     rows with the smallest id hash are used, a fixed bound at any input size, and
     weighted back to their share.  Whole texts give the features; the
-    ``features`` with the largest chi-square are kept.  Labels of one value only
+    ``features`` with the largest chi-square are kept.  ``decision`` is the
+    probability of a grade above 0 with the best F1 on the sample.  Labels of one value only
     (or none) give a constant model.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = (known if where is None else known.filter(where)).select(F.col(id_col).alias("lid"), F.col(label_col).cast("int").alias("label"))
     total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(total) < 2:
-        return {"constant": float(next(iter(total), 0))}
+        return {"constant": float(next(iter(total), 0)), "decision": 0.5}
     chosen = None
     for c in sorted(total):
         some = known.filter(F.col("label") == c).orderBy(F.xxhash64("lid"), "lid").limit(sample_rows)
@@ -134,7 +146,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], names=["label", "f"])
     rows = texts.mapInArrow(run, schema).collect()
     if len({r["label"] for r in rows}) < 2:
-        return {"constant": float(rows[0]["label"]) if rows else 0.0}
+        return {"constant": float(rows[0]["label"]) if rows else 0.0, "decision": 0.5}
     present = [np.frombuffer(r["f"], np.int32) for r in rows]
     label = np.array([r["label"] for r in rows])
     grade = split_grades(present, label) if grades is None else label
@@ -155,7 +167,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         at = column[f]
         x[i, at[at >= 0]] = 1
     w, t = fit_ordinal(x, grade, weight, n_grades)
-    return {"weights": {int(i): float(v) for i, v in zip(chosen_ids, w)}, "cuts": t}
+    decision = best_threshold(severity(x @ w, t)[1], grade > 0, weight)
+    return {"weights": {int(i): float(v) for i, v in zip(chosen_ids, w)}, "cuts": t, "decision": decision}
 
 
 def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

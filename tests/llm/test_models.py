@@ -11,7 +11,7 @@ import corpus_pipeline as C
 from memberlens.llm import queries as Q
 from memberlens.llm.pq import near_embeddings
 from memberlens.llm.quality import calibrate, difference, compressor, fit_quality, score_quality
-from memberlens.llm.toxicity import fit_ordinal, fit_toxicity, score_toxicity, severity
+from memberlens.llm.toxicity import best_threshold, fit_ordinal, fit_toxicity, score_toxicity, severity
 
 SF = "/root/testdata/sf0.1"
 ODD = [(1, None, 0), (2, "", 0), (3, "word " * 40_000, 0), (3, "word " * 40_000, 1), (None, "plain text here", 1)]
@@ -73,12 +73,18 @@ def test_ordinal_regression_recovers_its_model():
     assert abs(expected.mean() - grade.mean()) < 0.05 and abs(p.mean() - (grade > 0).mean()) < 0.03
 
 
+def test_best_threshold():
+    p, y = np.array([0.9, 0.8, 0.8, 0.3, 0.1, 0.1]), np.array([1, 1, 0, 1, 0, 0], bool)
+    assert best_threshold(p, y, np.ones(6)) == pytest.approx(0.2)
+    assert best_threshold(p, y, np.array([1, 1, 100, 1, 1, 1.0])) == pytest.approx(0.85)
+
+
 def test_toxicity_held_out(spark):
     got = Q.op2_toxicity(spark, SF).toPandas()
     m = got.rename(columns={"toxic": "found"}).merge(spark.read.parquet(f"{SF}/labels.parquet").toPandas(), on="doc_id")
     m = m[m.held_out]
     assert len(got) == 10_000 and auc(m.toxic.to_numpy(), m.p_toxic.to_numpy()) > 0.95
-    assert m[m.toxic == 0].found.mean() < 0.01 and m[m.toxic == 1].found.mean() > 0.7
+    assert m[m.toxic == 0].found.mean() < 0.01 and m[m.toxic == 1].found.mean() > 0.8
     assert got.severity.between(0, 2).all()
 
 
