@@ -160,8 +160,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_embedding_pq", """
     WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
          l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
-               WHERE list_sum(list_transform(list_zip(a.e, b.e), x -> x[1] * x[2]))
-                     >= 0.9 * sqrt(list_sum(list_transform(a.e, x -> x * x))) * sqrt(list_sum(list_transform(b.e, x -> x * x)))),
+               WHERE list_dot_product(a.e, b.e) >= 0.9 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
          r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
     SELECT a AS vec_id, (SELECT count(*) FROM l WHERE l.a = r.a) AS n_links, min(b) AS component_id, a = min(b) AS kept FROM r GROUP BY a""")
 def op5_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
