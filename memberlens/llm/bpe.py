@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from .common import own_columns
 
 #: Pieces and token pairs that a Python worker remembers before it starts anew (some 100 MB).
-MEMO, MEMO_PAIRS = 250_000, 400_000
+MEMO, MEMO_PAIRS = 120_000, 250_000
 #: Above every rank; stands before the first token.
 NEVER, BEGIN = 1 << 60, -1
 #: Longer pieces are not remembered.
