@@ -9,7 +9,7 @@ from .bpe import decode, encode, load_ranks
 from .chat import examples, read_back
 from .common import table
 from .exact import exact_dedup, text_sha256
-from .lines import line_dedup
+from .lines import line_dedup, passage_dedup
 from .mixing import mix
 from .pq import near_embeddings
 from .quality import fit_quality, score_quality, training_rows
@@ -62,6 +62,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.octet_length("text").cast("bigint").alias("text_bytes"), "n_chunks", "n_removed")
 
 
+@query("op10_passage_dedup")
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passage_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.sha2("text", 256).alias("text_sha256"),
+                      F.octet_length("text").cast("bigint").alias("text_bytes"), "n_lines", "n_removed")
+
+
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from memberlens.llm import queries as Q
 from memberlens.llm.common import components
 from memberlens.llm.exact import exact_dedup
-from memberlens.llm.lines import line_dedup, with_chunks
+from memberlens.llm.lines import line_dedup, passage_dedup, with_chunks
 from memberlens.llm.simhash import ball, fingerprint, near_pairs, segment_radii, simhash_dedup
 
 DOCS = "doc_id bigint, text string, k int"
@@ -133,6 +133,76 @@ def test_line_dedup_repeated_rows_null_ids_and_names(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+# --- passages ----------------------------------------------------------------
+
+def brute_passages(rows, words=50):
+    def h60(s):
+        return int(hashlib.md5(s.encode()).hexdigest()[:15], 16)
+    places, docs = defaultdict(set), {(d, t): t.split("\n") for d, t in rows if t is not None}
+    for (d, t), ls in docs.items():
+        key, full = (d is None, d or 0, t), [i for i, x in enumerate(ls) if x.split()]
+        size = {i: len(ls[i].split()) for i in full}
+        for s in range(len(full)):                      # every run of whole lines, the shortest that reaches the words
+            for e in range(s, len(full)):
+                run = full[s:e + 1]
+                n = sum(size[i] for i in run)
+                if n >= words and (n - size[run[-1]] < words or n - size[run[0]] < words):
+                    places["w", tuple(ls[i] for i in run)].add((*key, run[0], run[-1]))
+        at, prev_r, prev_h, prev_long, chunks = 0, None, 0, False, []
+        for i, x in enumerate(ls):
+            h, long = h60(x) % 2147483647, len(x.encode()) >= 200
+            if i == 0 or long or prev_long or prev_r % 3 == 0:
+                chunks.append([])
+            chunks[-1].append(x)
+            prev_r, prev_h, prev_long = (h + (prev_h * 1_000_003 if i else 0)) % 2147483647, h, long
+        for c in chunks:
+            text = "\n".join(c)
+            if len(text.encode()) >= 40 and (len(text.encode()) >= 200 or len(c) > 1):
+                places["c", text].add((*key, at, at + len(c) - 1))
+            at += len(c)
+        if len(t.encode()) >= 40:
+            places["t", t].add((*key, 0, len(ls) - 1))
+    gone = defaultdict(set)
+    for (_, _), at in places.items():
+        first = min(at, key=lambda p: p[:2] + p[3:])
+        for p in at - {first}:
+            gone[p[:3]] |= set(range(max(p[3], first[4] + 1) if p[:3] == first[:3] else p[3], p[4] + 1))
+    return {(d, t): t if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d is None, d or 0, t]) for d, t in rows}
+
+
+def test_passage_dedup_matches_brute_force(spark):
+    rnd = random.Random(7)
+    pool = [" ".join(rnd.choice(["lorem", "ipsum", "dolor", "sit", "amet", "é"]) for _ in range(rnd.choice([1, 4, 9, 14, 30, 60]))) for _ in range(150)] + ["", " \t"]
+    rows = [(i, "\n".join(rnd.choice(pool) if rnd.random() < .5 else f"own {i} {rnd.random()}" for _ in range(rnd.randint(1, 30)))) for i in range(200)]
+    for i in range(80):
+        at = rnd.randrange(140)
+        rows.append((500 + i, "\n".join([f"start {i}", *pool[at:at + rnd.randint(2, 12)], f"end {i}"])))
+    rows += [(900, "\n".join(["again and again and again"] * 60)), (901, None), (902, ""), (903, "\n\n"), (904, "a b c"), (905, "a b c"), (906, "w " * 50_000)]
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:30])] + [rows[3]]
+    got = passage_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows)
+    want = {d: t for (d, _), t in brute_passages(rows).items()}
+    assert {r.doc_id: r.text for r in got} == want
+    assert all(want[1000 + i] == "" for i in range(30) if len(rows[i][1]) >= 40)
+    assert want[900] == "\n".join(["again and again and again"] * 10)
+
+
+@pytest.mark.parametrize("n_lines,n_words", [(3, 20), (4, 14), (6, 14), (10, 14)])
+def test_passage_of_short_lines_goes_whole(spark, n_lines, n_words):
+    passages = ["\n".join(" ".join(f"p{k}l{i}w{j}" for j in range(n_words)) for i in range(n_lines)) for k in range(40)]
+    rows = [(2 * k + c, f"head {k} {c}\n{p}\ntail {k} {c}") for k, p in enumerate(passages) for c in (0, 1)]
+    got = {r.doc_id: r.text for r in passage_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {d: t if d % 2 == 0 else f"head {d // 2} 1\ntail {d // 2} 1" for d, t in rows}
+
+
+def test_passage_dedup_null_ids_names_and_empty_table(spark):
+    b = "\n".join(f"a shared line with some words {i}" for i in range(12))
+    rows = [(None, b, 1), (7, b, 2), (7, b, 2), (8, b + "\nmore", 3)]
+    got = passage_dedup(spark.createDataFrame(rows, "doc_id bigint, text string, gone int")).collect()
+    assert sorted((r.doc_id or 0, r.text, r.n_removed, r.n_lines) for r in got) == [(0, "", 12, 12), (7, b, 0, 12), (7, b, 0, 12), (8, "more", 12, 13)]
+    assert passage_dedup(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
 # --- SimHash -----------------------------------------------------------------
 
 def brute_fp(t):
