@@ -91,6 +91,13 @@ def fingerprint(spark, sf_dir):
     return D.compare(*parts)
 
 
+@query("fingerprint_all")
+def fingerprint_all(spark, sf_dir):
+    """Order-insensitive content fingerprints of the fact tables, every column."""
+    parts = [A.fingerprint(A.read_table(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "*") for t in _FINGERPRINTS]
+    return D.compare(*parts)
+
+
 @query("parse_requests", doubles=("members_lag1", "leak_rate_lag1"), sql=f"""
 WITH {PANEL_CTE},
 snap AS (SELECT unit, CAST(arg_max(members, period) AS DOUBLE) AS m_last, arg_max(leak_rate, period) AS leak_last

@@ -256,3 +256,34 @@ def test_fingerprint_tells_null_places_apart(spark):
     a = fingerprint(spark.createDataFrame([(1, None)], "a int, b int")).first()
     b = fingerprint(spark.createDataFrame([(None, 1)], "a int, b int")).first()
     assert a["content_hash"] != b["content_hash"]
+
+
+def test_fingerprint_all_sees_every_column(spark, tmp_path):
+    import hashlib
+    import __spark_entry__ as E
+    names, sf = ("orders", "lineitem", "events"), str(tmp_path / "sf")
+    small = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(20).coalesce(1).cache() for t in names}
+
+    def run():
+        return {r.table_name: (r.n_rows, r.content_hash) for r in E.queries()["fingerprint_all"](spark, sf).collect()}
+
+    def brute(df):
+        total = 0
+        for r in df.select(*[F.col(c).cast("string") for c in df.columns]).collect():
+            row = ",".join("n" if v is None else f"v{len(v)}:{v}" for v in r)
+            total += int(hashlib.md5(row.encode()).hexdigest()[:15], 16)
+        return df.count(), total % 2305843009213693951
+    for t in names:
+        small[t].write.parquet(f"{sf}/{t}.parquet")
+    assert run() == {t: brute(small[t]) for t in names}
+    for k in range(max(len(d.columns) for d in small.values())):       # the k-th column of each table loses one value
+        change = [t for t in names if k < len(small[t].columns)]
+        before = run()
+        for t in change:
+            d, c = small[t], small[t].columns[k]
+            least = d.agg(F.min(c)).first()[0]
+            d.withColumn(c, F.when(F.col(c) != F.lit(least), F.col(c))).write.mode("overwrite").parquet(f"{sf}/{t}.parquet")
+        after = run()
+        assert all(after[t][1] != before[t][1] for t in change), k
+        for t in change:
+            small[t].write.mode("overwrite").parquet(f"{sf}/{t}.parquet")
