@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from memberlens.llm.bpe import decode, encode, load_ranks
 from memberlens.llm.common import table
-from memberlens.llm.lines import line_dedup
+from memberlens.llm.lines import passage_dedup
 from memberlens.llm.mixing import mix
 from memberlens.llm.quality import fit_quality, score_quality
 from memberlens.llm.queries import QUALITY_THRESHOLD
@@ -33,8 +33,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the line chunks that stand elsewhere before; ``n_chars`` follows the text."""
-    out = line_dedup(docs)
+    """Documents without the passages that stand elsewhere before; ``n_chars`` follows the text."""
+    out = passage_dedup(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -186,3 +186,16 @@ def test_pipeline_stages(spark):
     for name, stage in C.STAGES:
         dirty = stage(spark, dirty, sf)
     assert dirty.count() >= 0
+
+
+def test_pipeline_copies_leave_one_document_with_text(spark):
+    rnd = random.Random(3)
+    # lines below 200 bytes that one chunk or none holds, so that chunks alone leave fragments
+    texts = ["\n".join(" ".join(f"g{g}x{rnd.randrange(10**6)}" for _ in range(rnd.randint(2, 12))) for _ in range(rnd.randint(1, 9))) for g in range(60)]
+    schema = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").schema
+    rows = [(100 * c + g, t, "en", "s", len(t)) for g, t in enumerate(texts) for c in range(3)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in C.STAGES[1:3]:
+        docs = stage(spark, docs, "/root/testdata/sf0.01")
+    left = [r for r in docs.collect() if r.text]
+    assert sorted(r.doc_id for r in left) == list(range(60)) and all(r.text == texts[r.doc_id] for r in left)
