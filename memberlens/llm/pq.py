@@ -24,6 +24,10 @@ SUBSPACES, CODEWORDS = 8, 256
 #: A list is probed when its border is nearer than PROBE_WIDTH times the standard
 #: deviation with which a partner at the threshold lies along one direction.
 PROBE_WIDTH = 2.0
+#: Probes are widened until they find this share of planted and of measured links.
+RECALL = 0.995
+#: Vectors that the probes are measured with, pairs taken at once, steps of the widening.
+QUERIES, PAIRS, STEPS = 2048, 1 << 16, 512
 #: Rows of a block of a list's queries and of its codes.
 QUERY_BLOCK, CODE_BLOCK = 4096, 4096
 
@@ -69,6 +73,30 @@ def assign(x: np.ndarray, model: dict, reach: float) -> tuple[np.ndarray, np.nda
     return own, codes, np.linalg.norm(rest, axis=1), probed
 
 
+def needed(x: np.ndarray, y: np.ndarray, model: dict) -> np.ndarray:
+    """Smallest reach with which x or y probes the other's list, row by row."""
+    c = model["centroids"]
+    half = (c ** 2).sum(1) / 2
+    i, j = np.argmax(x @ c.T - half, axis=1), np.argmax(y @ c.T - half, axis=1)
+    to = c[i] - c[j]
+    gap = np.maximum(np.linalg.norm(to, axis=1), 1e-12)
+    middle = half[i] - half[j]
+    need = np.minimum((x * to).sum(1) - middle, middle - (y * to).sum(1)) / gap
+    return np.where(i == j, 0.0, np.maximum(need, 0.0))
+
+
+def planted_reach(sample: np.ndarray, model: dict, threshold: float, recall: float = RECALL) -> float:
+    """Reach that finds the share ``recall`` of partners at the threshold that lie from
+    sampled vectors towards other sampled ones, so in directions in which the data vary."""
+    rng = np.random.default_rng(0)
+    x, to = sample[rng.integers(0, len(sample), 4 * QUERIES)], sample[rng.integers(0, len(sample), 4 * QUERIES)]
+    to = to - (to * x).sum(1, keepdims=True) * x
+    n = np.linalg.norm(to, axis=1)
+    x, to = x[n > 1e-6], to[n > 1e-6] / n[n > 1e-6, None]
+    need = [needed(x[s:s + 2048], threshold * x[s:s + 2048] + np.sqrt(1 - threshold ** 2) * to[s:s + 2048], model) for s in range(0, len(x), 2048)]
+    return float(np.quantile(np.concatenate(need), recall, method="higher")) if len(x) else 0.0
+
+
 def links_of_block(x: np.ndarray, y: np.ndarray, codes: np.ndarray, miss: np.ndarray, at: int, model: dict,
                    same: np.ndarray, threshold: float):
     """Yield (query rows, code rows) that link, a piece of the block at a time.
@@ -115,8 +143,11 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Lists and codebooks are fitted on a sample of at most ``max_lists`` *
     SAMPLE_PER_LIST classes; every class is indexed, in its nearest list.  Every
     class queries all lists whose border is near enough that a partner at the
-    threshold can lie behind it (see PROBE_WIDTH), and a pair counts if either
-    side finds it; the tests measure the recall against brute force.  Blocks of a
+    threshold can lie behind it, and a pair counts if either side finds it.  How
+    near that is comes from the data: PROBE_WIDTH standard deviations of an even
+    spread at least, then as wide as RECALL of planted partners need, and of all
+    true links of QUERIES classes, which are compared with every class; a border
+    farther than a partner at the threshold is never probed.  Blocks of a
     list's queries and codes meet in a task each, so a crowded list is split
     into many.  A block gives counts and a spanning forest of its links, never
     the pairs themselves.
@@ -158,9 +189,37 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     if size:
         lists = int(min(max_lists, max(MIN_LISTS, size // list_rows)))
-        sample = classes.orderBy("key").limit(lists * SAMPLE_PER_LIST).select("raw").collect()
-        shared = spark.sparkContext.broadcast(fit(unit([r["raw"] for r in sample]), lists))
-        reach = probe_width * float(np.sqrt(2 - 2 * threshold) / np.sqrt(dim))
+        sample = classes.orderBy("key").limit(lists * SAMPLE_PER_LIST).select("key", "raw").collect()
+        fitted = unit([r["raw"] for r in sample])
+        model = fit(fitted, lists)
+        shared = spark.sparkContext.broadcast(model)
+        asked = spark.sparkContext.broadcast(({r["key"]: i for i, r in enumerate(sample[:QUERIES])}, fitted[:QUERIES]))
+        top = float(np.sqrt(max(2 - 2 * threshold, 0.0)))           # no partner's border is farther
+
+        def measure(batches):
+            at, x = asked.value
+            for b in batches:
+                for s in range(0, b.num_rows, 2048):
+                    part = b.slice(s, 2048)
+                    y, n = unit(part.column(2).to_pylist()), part.column(1).to_numpy()
+                    near = y @ x.T >= threshold
+                    for row, key in enumerate(part.column(0).to_pylist()):
+                        if key in at:
+                            near[row, at[key]] = False
+                    i, j = np.nonzero(near)
+                    total = np.zeros(STEPS + 1)
+                    for p in range(0, len(i), PAIRS):
+                        need = needed(x[j[p:p + PAIRS]], y[i[p:p + PAIRS]], shared.value)
+                        step = np.minimum(np.ceil(need / max(top, 1e-12) * STEPS), STEPS).astype(int)
+                        total += np.bincount(step, n[i[p:p + PAIRS]], STEPS + 1)
+                    k = np.flatnonzero(total)
+                    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(total[k].astype(np.int64))], names=["step", "n"])
+        links_at = np.zeros(STEPS + 1)
+        for r in classes.select("key", "n", "raw").mapInArrow(measure, "step int, n long").groupBy("step").agg(F.sum("n").alias("n")).collect():
+            links_at[r["step"]] = r["n"]
+        # the first step with the goal; 0 where no link was met
+        measured = top * float(np.argmax(np.cumsum(links_at) >= RECALL * links_at.sum())) / STEPS
+        reach = min(top, max(probe_width * top / float(np.sqrt(dim)), planted_reach(fitted, model, threshold), measured)) + 1e-9
         schema2 = StructType([StructField("key", StringType()), StructField("n", LongType()), StructField("raw", BinaryType()),
                               StructField("list", IntegerType()), StructField("codes", BinaryType()), StructField("miss", DoubleType()),
                               StructField("probes", ArrayType(IntegerType()))])

@@ -153,6 +153,21 @@ def test_embeddings_recall_at_the_threshold(spark):
     assert got.n_links.sum() >= 0.99 * 6000
 
 
+@pytest.mark.parametrize("rank", [3, 8])
+def test_embeddings_recall_where_vectors_vary_in_few_directions(spark, rank):
+    rng = np.random.default_rng(rank)
+    basis = np.linalg.qr(rng.normal(size=(64, rank)))[0].T
+    a = rng.normal(size=(3000, rank))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    g = rng.normal(size=a.shape)
+    g -= (g * a).sum(1, keepdims=True) * a
+    b = 0.905 * a + math.sqrt(1 - 0.905 ** 2) * g / np.linalg.norm(g, axis=1, keepdims=True)
+    v = np.concatenate([a, b]) @ basis
+    true = int((v @ v.T >= 0.9).sum()) - len(v)
+    got = near_embeddings(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")).toPandas()
+    assert 0.99 * true <= got.n_links.sum() <= true + 2
+
+
 def test_embeddings_empty_and_repeated(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert near_embeddings(spark.createDataFrame([], schema)).count() == 0
