@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .align import align_tokens, load_byte_level, score_links, vocabulary_size
 from .bpe import decode, encode, load_ranks
 from .chat import examples, read_back
-from .common import table
+from .common import SPACE, table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup, passage_dedup
 from .mixing import mix
+from .periodic import periodic_runs
 from .pq import near_embeddings
 from .quality import fit_quality, score_quality, training_rows
 from .simhash import simhash_dedup
@@ -172,3 +174,45 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT a AS vec_id, (SELECT count(*) FROM l WHERE l.a = r.a) AS n_links, min(b) AS component_id, a = min(b) AS kept FROM r GROUP BY a""")
 def op5_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        pieces = f.read()
+    aligned = align_tokens(table(spark, sf_dir, "documents"), load_byte_level(public_tokenizers.path("byte_bpe_50k.json")),
+                           public_tokenizers.PATTERN, pieces, keep=["doc_id"])
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return score_links(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times"), vocabulary_size(pieces))
+
+
+def with_repeated_tail(docs: DataFrame) -> DataFrame:
+    """One document in ten (by its id's CRC-32) with its words from some place on repeated in turn."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(w):
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        turned = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a), turned), " ")).otherwise("")
+    # transform over an array of one holds the words, so the pattern runs once
+    words = F.array(F.regexp_extract_all("text", F.lit(f"[^{SPACE}]+"), F.lit(0)))
+    return docs.select("doc_id", F.when(h % 10 == 0, F.get(F.transform(words, tail), F.lit(0))).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeated_tail(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    # runs come by start, then period, so only a greater exponent replaces one
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.reduce("runs", none, lambda a, r: F.when(a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"]), r).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    told = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return told.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
