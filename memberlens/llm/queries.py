@@ -11,6 +11,7 @@ from .chat import examples, read_back
 from .common import SPACE, table
 from .exact import exact_dedup, text_sha256
 from .lines import line_dedup, passage_dedup
+from .graph import nearest
 from .mixing import mix
 from .periodic import periodic_runs
 from .pq import near_embeddings
@@ -216,3 +217,18 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
                        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
                        "runs_sha256", "collapsed_sha256")
+
+
+#: Nearest neighbours asked for, and the share of rows that ask (one in ...).
+NEIGHBOURS, ASKED = 10, 100
+
+
+@query("op11_graph_ann", """
+    WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+         d AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+               WHERE q.vec_id % 100 = 0),
+         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS n FROM d)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""")
+def op11_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % ASKED == 0), NEIGHBOURS)
