@@ -74,11 +74,10 @@ class Tokenizers:
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of A and of B; None if the bytes of either are not a space and the text."""
         whole = b" " + text.encode()
-        a = self.a.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int32)
-        b = self.b.encode(text, num_threads=1)
-        if b"".join(map(self.bytes_b.__getitem__, b)) != whole or b"".join(map(self.bytes_a.__getitem__, a.tolist())) != whole:
+        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text, num_threads=1)
+        if b"".join(map(self.bytes_b.__getitem__, b)) != whole or b"".join(map(self.bytes_a.__getitem__, a)) != whole:
             return None
-        return a, np.array(b, np.int32)
+        return np.array(a, np.int32), np.array(b, np.int32)
 
 
 class Aligner:
@@ -87,7 +86,8 @@ class Aligner:
     def __init__(self, bytes_a: list[bytes], bytes_b: list[bytes]):
         self.size = [np.array([len(t) for t in table], np.int64) for table in (bytes_a, bytes_b)]
         self.spaced = [np.array([t.startswith(b" ") for t in table]) for table in (bytes_a, bytes_b)]
-        self.lengths = [s.tolist() for s in self.size]
+        # each id as text, with the mark behind it inside a group and at the end of its side
+        self.names = [[np.array([f"{i}{mark}" for i in range(len(s))], object) for mark in marks] for s, marks in zip(self.size, (",|", ",;"))]
         self.n_b = len(bytes_b)
         self.forget()
 
@@ -97,24 +97,32 @@ class Aligner:
         self.texts: list[str] = []
         self.groups, self.first, self.links = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
 
-    def align(self, a: list[int], b: list[int]) -> tuple[str, int, list[int]]:
-        """Groups as text, their number, and the pairs a * n_b + b of tokens that overlap."""
-        la, lb, links, groups, i, j, i0, j0 = *self.lengths, [], [], 0, 0, 0, 0
-        end_a, end_b = la[a[0]], lb[b[0]]
-        while True:
-            links.append(a[i] * self.n_b + b[j])
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[i0:i + 1])) + "|" + ",".join(map(str, b[j0:j + 1])))
-                i0, j0 = i + 1, j + 1
-                if i0 == len(a):
-                    return ";".join(groups), len(groups), links
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                i += 1
-                end_a += la[a[i]]
-            if step_b:
-                j += 1
-                end_b += lb[b[j]]
+    def align(self, windows: list[tuple[bytes, bytes]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Groups as text, their number and the number of links of each window, and all
+        links' pairs a * n_b + b, window by window.
+
+        Both sides of a window have the same bytes, so windows are laid end to end:
+        a place where either side ends a token ends one link, a place where both do
+        ends a group as well.
+        """
+        ids = [np.frombuffer(b"".join(side), np.int32) for side in zip(*windows)]
+        ends = [size[x].cumsum() for size, x in zip(self.size, ids)]
+        at = np.union1d(*ends)
+        links = ids[0][np.searchsorted(ends[0], at)].astype(np.int64) * self.n_b + ids[1][np.searchsorted(ends[1], at)]
+        shared = np.intersect1d(*ends, assume_unique=True)
+        last = [np.cumsum([len(w[k]) // 4 for w in windows]) for k in (0, 1)]       # tokens up to each window's end
+        closed = ends[0][last[0] - 1]
+        # text: tokens of a group, A's before B's, each with the mark behind it
+        words, group = [], []
+        for k in (0, 1):
+            mine = np.searchsorted(shared, ends[k])
+            final = shared[mine] == ends[k]
+            words.append(np.where(final, self.names[k][1][ids[k]], self.names[k][0][ids[k]]))
+            group.append(2 * mine + k)
+        words = np.concatenate(words)[np.argsort(np.concatenate(group), kind="stable")].tolist()
+        upto = (last[0] + last[1]).tolist()
+        texts = ["".join(words[i:j])[:-1] for i, j in zip([0, *upto], upto)]
+        return texts, np.diff(np.searchsorted(shared, closed, side="right"), prepend=0), np.diff(np.searchsorted(at, closed, side="right"), prepend=0), links
 
     def windows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Numbers of the windows that the two sequences (of the same bytes) consist of.
@@ -133,25 +141,21 @@ class Aligner:
         at_a = spaced[0][mark[starts[0][spaced[0]]]]
         cut_a = (np.concatenate([[0], at_a[at_a > 0], [len(a)]]) * 4).tolist()
         cut_b = (np.concatenate([[0], at_b[at_b > 0], [len(b)]]) * 4).tolist()
-        raw_a, raw_b, known, slots = a.tobytes(), b.tobytes(), len(self.slots), self.slots
-        found = [slots[raw_a[i:j], raw_b[k:m]] for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        if len(slots) > known:
-            new = [self.align(np.frombuffer(x, np.int32).tolist(), np.frombuffer(y, np.int32).tolist())
-                   for x, y in islice(slots, known, None)]
-            self.texts += [t for t, _, _ in new]
-            self.fresh.append(new)
-        return np.array(found)
+        raw_a, raw_b, slots = a.tobytes(), b.tobytes(), self.slots
+        return np.array([slots[raw_a[i:j], raw_b[k:m]] for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])])
 
     def batch(self, texts: list[tuple[np.ndarray, np.ndarray] | None]) -> list[tuple]:
         """(groups, their number, number of links, distinct pairs, times each) of every text's two sequences."""
         if len(self.slots) >= MEMO:
             self.forget()
-        self.fresh: list[list] = []
+        known = len(self.slots)
         found = [self.windows(*t) if t is not None else None for t in texts]
-        new = [x for part in self.fresh for x in part]
-        self.groups = np.concatenate([self.groups, np.array([n for _, n, _ in new], np.int64)])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(l) for _, _, l in new], dtype=np.int64)])
-        self.links = np.concatenate([self.links, *[np.array([x for _, _, l in new for x in l], np.int64)]])
+        if len(self.slots) > known:
+            told, groups, n, links = self.align(list(islice(self.slots, known, None)))
+            self.texts += told
+            self.groups = np.concatenate([self.groups, groups])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+            self.links = np.concatenate([self.links, links])
         out = []
         for w in found:
             if w is None:
