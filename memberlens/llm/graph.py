@@ -177,7 +177,9 @@ def build_graphs(classes: DataFrame, kind, shard_rows: int = SHARD_ROWS, degree:
         return pa.table([*t.columns, pa.array(range(len(x)), pa.int32()), pa.array([e.tobytes() for e in edges], pa.binary())],
                         names=[*t.column_names, "place", "edges"])
     schema = StructType([*dealt.schema.fields, StructField("place", IntegerType()), StructField("edges", BinaryType())])
-    return dealt.groupBy("dim", "shard").applyInArrow(build, schema)
+    # dealt by number: shards are few bytes but much work, so AQE is not to join their partitions
+    tasks = max(1, per.agg(F.sum("shards")).first()[0] or 0)
+    return dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, schema)
 
 
 def search_graphs(graphs: DataFrame, asked: DataFrame, kind, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
@@ -217,6 +219,8 @@ def search_graphs(graphs: DataFrame, asked: DataFrame, kind, k: int, beam: int =
         i, r, d = zip(*found)
         return pa.table([q.column("q_key").take(pa.array(i)), g.column("key").take(pa.array(r)), g.column("low").take(pa.array(r)), pa.array(d, pa.float64())],
                         names=schema.names)
+    tasks = max(1, per.join(shards, "d").agg(F.sum(F.col("blocks") * F.col("shards"))).first()[0] or 0)
+    put, kept = put.repartition(tasks, "q_dim", "q_shard", "q_block"), kept.repartition(tasks, "dim", "shard", "block")
     return put.groupBy("q_dim", "q_shard", "q_block").cogroup(kept.groupBy("dim", "shard", "block")).applyInArrow(meet, schema)
 
 
@@ -254,7 +258,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                                                  names=["id", "key", "dim", "raw"])
         return d.mapInArrow(prepare, "id long, key string, dim int, raw binary").filter("key is not null")
     rows, asked = cut(keyed(vectors)), cut(keyed(queries))
-    classes = rows.groupBy("key").agg(F.min("id").alias("low"), F.any_value("dim").alias("dim"), F.any_value("raw").alias("raw"))
+    classes = cut(rows.groupBy("key").agg(F.min("id").alias("low"), F.any_value("dim").alias("dim"), F.any_value("raw").alias("raw")))
     graphs = cut(build_graphs(classes, kind, shard_rows, degree, build_beam, alpha))
     sought = asked.groupBy(F.col("key").alias("q_key")).agg(F.any_value("dim").alias("q_dim"), F.any_value("raw").alias("q_raw"))
     # of equal distance the class with the smallest id comes first: k + 1 classes hold the k nearest rows of other ids
