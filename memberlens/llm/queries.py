@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .align import align_tokens, load_byte_level, score_links, vocabulary_size
-from .bpe import decode, encode, load_ranks
+from .bpe import encode, load_ranks
 from .chat import examples, read_back
 from .common import SPACE, table
 from .exact import exact_dedup, text_sha256
@@ -110,10 +110,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
-    told = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
-    return decode(told, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep=["doc_id"],
+                  outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 @query("op3_token_counts")

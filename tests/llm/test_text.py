@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -59,6 +60,42 @@ def test_encode_decode_rows(spark):
         encode(d.withColumnRenamed("c0", "ids"), RANKS, public_tokenizers.PATTERN)
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("aeinorst 1é日"), st.characters(blacklist_categories=["Cs"])), max_size=40), max_size=12))
+def test_many_texts_at_once(texts):
+    ids, ends = BPE.encode_texts(texts)
+    assert [ids[i:j].tolist() for i, j in zip([0, *ends], ends)] == [LIBRARY.encode_ordinary(t) for t in texts]
+
+
+def test_bounded_memory_gives_the_same_ids(monkeypatch):
+    """A cache of 64 places and a memo of 50 pieces, so that both lose entries all the time."""
+    from memberlens.llm import bpe as module
+    monkeypatch.setattr(module, "PLACES", 64)
+    monkeypatch.setattr(module, "MEMO", 50)
+    small, rnd = ByteBPE(RANKS, public_tokenizers.PATTERN), random.Random(2)
+    for _ in range(60):
+        texts = [" ".join("".join(rnd.choice("thearionsldé") for _ in range(rnd.randint(1, 70))) for _ in range(20)) for _ in range(3)]
+        assert small.encode_texts(texts)[0].tolist() == [i for t in texts for i in LIBRARY.encode_ordinary(t)]
+        assert len(small.slots) <= 50 + 80
+    pairs = [(rnd.randrange(50_256), rnd.randrange(50_256)) for _ in range(3000)]
+    before, token = map(np.array, zip(*pairs))
+    assert small.fit_all(before, token).tolist() == [BPE.fits(a, b) for a, b in pairs]
+
+
+def test_outputs_of_one_pass(spark):
+    d = spark.createDataFrame(TEXTS, "doc_id bigint, text string, c0 int")
+    rows = encode(d, RANKS, public_tokenizers.PATTERN, keep=["text", "c0"], out="c1", outputs=("round_trip", "ids", "n_tokens", "decoded_sha256", "ids_sha256"))
+    assert rows.columns == ["text", "c0", "round_trip", "c1", "n_tokens", "decoded_sha256", "ids_sha256"]
+    for r in rows.collect():
+        ids = LIBRARY.encode_ordinary(r.text or "")
+        assert r.round_trip and r.c1 == ids and r.n_tokens == len(ids)
+        assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    with pytest.raises(Exception, match="table lacks"):
+        decode(spark.createDataFrame([([1, 60_000],)], "ids array<int>"), RANKS).collect()
+    assert decode(spark.createDataFrame([(None,), ([],)], "ids array<int>"), RANKS).collect()[0].decoded == b""
+
+
 def test_bpe_query_on_a_table(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
