@@ -13,8 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberlens.llm.bpe import decode, encode, load_ranks
-from memberlens.llm.common import table
+from memberlens.llm.bpe import encode, load_ranks
+from memberlens.llm.common import scratch, table
 from memberlens.llm.lines import passage_dedup
 from memberlens.llm.mixing import mix
 from memberlens.llm.quality import fit_quality, score_quality
@@ -47,17 +47,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (0 to 3 times)."""
-    return mix(docs).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    turn = scratch(docs, "copy")
+    return mix(docs).filter("copies > 0").withColumn(turn, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and whether decoding them gives the text's bytes back."""
     import public_tokenizers
     ranks = load_ranks(public_tokenizers.path(RANKS))
-    d = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))      # the text itself need not come along
-    rows = decode(encode(d, ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source", "text_sha256"]), ranks)
-    same = F.sha2("decoded", 256) == F.col("text_sha256")
-    return rows.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("round_trip"))
+    return encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"], outputs=("n_tokens", "ids", "round_trip"))
 
 
 STAGES = [("quality", quality), ("line_dedup", lines), ("simhash", near_duplicates), ("mix", mixture), ("bpe", tokens)]
