@@ -15,6 +15,7 @@ from ..operators import cleaning as B
 from ..operators import ml as ML
 from ..operators import monitoring as L
 from ..operators import timeseries as TS
+from ..operators.ranks import global_row_number
 from ..operators import windows as W
 from ..plans.panel import load_panel, load_requests
 from ..session import cut_lineage
@@ -374,12 +375,10 @@ pp AS (SELECT *, (i - 0.5) / n AS p FROM r)
 SELECT unit, period, residual, {_acklam_sql('p')} AS theoretical FROM pp""")
 def qq_points(spark, sf_dir):
     """Normal Q-Q points of the naive residuals (plotting position
-    (i - 0.5)/n; the ranking is over the panel's residuals, bounded by
-    units x periods)."""
+    (i - 0.5)/n; ranks come from ranges of residuals and their sizes)."""
     bt = TS.backtest(load_panel(spark, sf_dir), model="naive")
     r = bt.select("unit", "period", (F.col("y") - F.col("pred")).alias("residual"))
-    w = Window.orderBy("residual", "unit", "period")
-    r = r.withColumn("i", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy()))
+    r = global_row_number(r, ["residual", "unit", "period"], "i", "n")
     pp = (F.col("i") - 0.5) / F.col("n")
     return r.select("unit", "period", "residual", S.inv_norm_cdf(pp).alias("theoretical"))
 

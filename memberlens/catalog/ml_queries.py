@@ -173,6 +173,19 @@ def silhouette(spark, sf_dir):
                     "n", "mean_silhouette"))
 
 
+@query("silhouette_exact", doubles=("silhouette",), sql=f"""
+WITH {_EMB_CTE},
+d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, list_distance(a.v, b.v) AS m FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+per AS (SELECT vec_id, la, lb, AVG(m) AS m FROM d GROUP BY vec_id, la, lb),
+ab AS (SELECT vec_id, la, MAX(m) FILTER (WHERE la = lb) AS a, MIN(m) FILTER (WHERE la <> lb) AS b FROM per GROUP BY vec_id, la)
+SELECT vec_id, la AS label, CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END AS silhouette
+FROM ab""")
+def silhouette_exact(spark, sf_dir):
+    """Euclidean silhouette of every embedding; distances meet in blocks and
+    only sums per row and cluster leave them."""
+    return ML.silhouette_exact(read_table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL"), "vec_id", "embedding", "label")
+
+
 @query("davies_bouldin", doubles=("davies_bouldin",), sql=f"""
 WITH {_EMB_CTE},
 x AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators import counters as C
 from ..operators import monitoring as L
 from ..operators import windows as W
 from ..operators.joins import inhibit
@@ -96,6 +97,30 @@ def request_rate(spark, sf_dir):
     return L.rate(load_requests(spark, sf_dir))
 
 
+@query("counter_rate", doubles=("increase", "rate"), sql=f"""
+WITH {REQUESTS_CTE},
+steps AS (SELECT endpoint, time_bucket(INTERVAL 10 MINUTE, ts) AS b, COUNT(*) AS n FROM requests GROUP BY ALL),
+samples AS (SELECT endpoint, b + INTERVAL 10 MINUTE AS t,
+                   SUM(n) OVER (PARTITION BY endpoint, date_trunc('day', b) ORDER BY b) AS v FROM steps),
+grown AS (SELECT *, v < LAG(v) OVER s AS is_reset, CASE WHEN v >= LAG(v) OVER s THEN v - LAG(v) OVER s ELSE v END AS g,
+                 LAG(v) OVER s IS NULL AS is_first FROM samples WINDOW s AS (PARTITION BY endpoint ORDER BY t)),
+ranges AS (SELECT g.*, ws FROM grown g, UNNEST([date_trunc('hour', g.t), date_trunc('hour', g.t) - INTERVAL 1 HOUR]) AS u(ws)),
+numbered AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY endpoint, ws ORDER BY t) AS i FROM ranges),
+spans AS (SELECT endpoint, ws, COUNT(*) AS samples, COUNT(*) FILTER (WHERE i > 1 AND is_reset) AS resets,
+                 CAST(SUM(g) FILTER (WHERE i > 1) AS DOUBLE) AS known, MAX(v) FILTER (WHERE i = 1) AS v0,
+                 epoch_us(MIN(t)) / 1e6 - epoch_us(ws) / 1e6 AS before, epoch_us(ws) / 1e6 + 7200 - epoch_us(MAX(t)) / 1e6 AS after,
+                 (epoch_us(MAX(t)) - epoch_us(MIN(t))) / 1e6 AS span
+          FROM numbered GROUP BY endpoint, ws HAVING COUNT(*) > 1),
+ends AS (SELECT *, span / (samples - 1) AS mean, CASE WHEN known > 0 AND span * v0 / known < before THEN span * v0 / known ELSE before END AS back FROM spans),
+told AS (SELECT *, known * (span + CASE WHEN back < 1.1 * mean THEN back ELSE mean / 2 END
+                                 + CASE WHEN after < 1.1 * mean THEN after ELSE mean / 2 END) / span AS increase FROM ends)
+SELECT ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, endpoint, samples, resets, increase, increase / 7200.0 AS rate FROM told""")
+def counter_rate(spark, sf_dir):
+    """L4: increase and rate of cumulative request counters that restart every
+    midnight, scraped every 10 minutes, over a 2 h range sliding by 1 h."""
+    return C.counter_rate(C.counter_samples(load_requests(spark, sf_dir)), ["endpoint"])
+
+
 @query("error_ratio", doubles=("error_ratio",), sql=f"""
 WITH {_SLIDE_CTE}
 SELECT window_start, window_end, endpoint, COUNT(*) AS requests,

@@ -159,3 +159,11 @@ def epoch_us(c) -> Column:
 def from_epoch_us(c) -> Column:
     """Inverse of ``epoch_us``: a timestamp_ntz, again without a time zone."""
     return F.timestamp_add("MICROSECOND", col_(c), F.expr(_EPOCH_NTZ))
+
+
+def one_of(c, values) -> Column:
+    """The column itself, which must have one of ``values`` in every row: any other
+    value, null too, fails the query, so a pivot over a fixed list loses nothing."""
+    c = col_(c)
+    told = F.concat(F.lit(f"not one of {list(values)}: "), F.coalesce(c.cast("string"), F.lit("null")))
+    return F.when(F.coalesce(c.isin(list(values)), F.lit(False)), c).otherwise(F.raise_error(told))

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import one_of
 from .cleaning import quantiles
 
 EPS = 1e-9
@@ -135,8 +136,8 @@ def history_mean(panel: DataFrame, y: str = "members") -> DataFrame:
 
 
 def crosstab(df: DataFrame, a: str, b: str, b_values: list) -> DataFrame:
-    """Contingency table with an explicit pivot value list."""
-    return df.groupBy(a).pivot(b, b_values).agg(F.count(F.lit(1))).na.fill(0)
+    """Contingency table with an explicit pivot value list; a value outside it fails the query."""
+    return df.withColumn(b, one_of(b, b_values)).groupBy(a).pivot(b, b_values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def unit_history(panel: DataFrame) -> DataFrame:
@@ -161,8 +162,8 @@ def compare(*results: DataFrame) -> DataFrame:
 
 def forecast_table(long: DataFrame, models: list[str], unit: str = "unit",
                    model: str = "model", value: str = "forecast") -> DataFrame:
-    """One column per model (pivot with a fixed value list)."""
-    return long.groupBy(unit).pivot(model, models).agg(F.first(value))
+    """One column per model (pivot with a fixed value list; a model outside it fails the query)."""
+    return long.withColumn(model, one_of(model, models)).groupBy(unit).pivot(model, models).agg(F.first(value))
 
 
 def feature_combos(spark, cols: list[str], lo: int, hi: int) -> DataFrame:

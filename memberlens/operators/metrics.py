@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import with_scalars
+from ..functions.scalar import one_of, with_scalars
 
 MACHINE_EPS = 2.220446049250313e-16
 
@@ -53,8 +53,9 @@ def classification_metrics(df: DataFrame, y: str = "label", p: str = "pred") ->
 
 
 def confusion(df: DataFrame, y: str = "label", p: str = "pred", classes=(0, 1)) -> DataFrame:
-    """Confusion matrix, rows = actual, one column per predicted class."""
-    return (df.groupBy(F.col(y).alias("actual")).pivot(p, list(classes))
+    """Confusion matrix, rows = actual, one column per predicted class; a
+    prediction outside ``classes`` fails the query."""
+    return (df.withColumn(p, one_of(p, classes)).groupBy(F.col(y).alias("actual")).pivot(p, list(classes))
             .agg(F.count(F.lit(1))).na.fill(0)
             .select("actual", *[F.col(str(c)).cast("bigint").alias(f"pred_{c}") for c in classes]))
 

@@ -490,3 +490,52 @@ def gmm_em(df: DataFrame, feats: list[str], k: int, cov: str = "diag", max_iter:
     info = {"cov": cov, "k": k, "iterations": it, "log_likelihood": ll,
             "bic": -2 * ll + p * np.log(n), "aic": -2 * ll + 2 * p}
     return scored, info
+
+
+#: Rows of a block of ``silhouette_exact``, and distances' components held at once.
+SILHOUETTE_BLOCK, SILHOUETTE_HELD = 4096, 1 << 22
+
+
+def silhouette_exact(df: DataFrame, key: str, vec: str, label: str, block: int = SILHOUETTE_BLOCK) -> DataFrame:
+    """Silhouette per row (``key``, ``label``, ``silhouette``) with Euclidean distance.
+
+    It has no closed form, so all distances are needed; but only their sums per
+    row and cluster leave a task.  Rows are dealt to blocks by a hash of the key,
+    whatever their cluster, so a cluster with most of the rows is split like any
+    other.  Every pair of blocks meets in one task, which returns a row's sum of
+    distances to each cluster of the other block.  Work grows with the square
+    of the rows, what is shuffled with rows x blocks.  A row alone in its cluster,
+    and every row of a single cluster, has 0.  ``key`` is unique and not null.
+    """
+    rows = df.select(F.col(key).alias("k"), F.col(label).alias("c"), F.col(vec).cast("array<double>").alias("v"))
+    n = rows.count()
+    blocks = max(1, -(-n // block))
+    dealt = rows.withColumn("b", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = dealt.select("k", "v", F.col("b").alias("i"), every.alias("j"))
+    right = dealt.select("c", "v", every.alias("i"), F.col("b").alias("j"))
+    schema = T.StructType([T.StructField("k", rows.schema["k"].dataType), T.StructField("o", rows.schema["c"].dataType), T.StructField("s", T.DoubleType())])
+
+    def meet(a, b):
+        import pandas as pd
+        if not len(a) or not len(b):
+            return pd.DataFrame({"k": a["k"][:0], "o": b["c"][:0], "s": np.zeros(0)})
+        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
+        codes, clusters = pd.factorize(b["c"], use_na_sentinel=False)
+        member = np.zeros((len(y), len(clusters)))
+        member[np.arange(len(y)), codes] = 1.0
+        step = max(1, SILHOUETTE_HELD // y.size)
+        sums = np.concatenate([np.sqrt(((x[s:s + step, None, :] - y[None]) ** 2).sum(-1)) @ member for s in range(0, len(x), step)])
+        return pd.DataFrame({"k": np.repeat(a["k"].to_numpy(), len(clusters)), "o": np.tile(np.asarray(clusters), len(x)), "s": sums.ravel()})
+    tasks = blocks * blocks                     # dealt by number: few bytes, much work
+    met = (left.repartition(tasks, "i", "j").groupBy("i", "j").cogroup(right.repartition(tasks, "i", "j").groupBy("i", "j"))
+           .applyInPandas(meet, schema).groupBy("k", "o").agg(F.sum("s").alias("s")))
+    size = rows.groupBy(F.col("c").alias("oc")).agg(F.count(F.lit(1)).alias("n"))
+    own = rows.select(F.col("k").alias("rk"), "c")
+    j = met.join(size, F.col("o").eqNullSafe(F.col("oc"))).join(own, F.col("k") == F.col("rk"))
+    same = F.col("o").eqNullSafe(F.col("c"))
+    per = j.groupBy("k", "c").agg(F.max(F.when(same & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"),
+                                  F.min(F.when(~same, F.col("s") / F.col("n"))).alias("o"))
+    s = F.when(F.col("a").isNull() | F.col("o").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce((F.col("o") - F.col("a")) / F.nullif(F.greatest("a", "o"), F.lit(0.0)), F.lit(0.0)))
+    return per.select(F.col("k").alias(key), F.col("c").alias(label), s.alias("silhouette"))
