@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import monitoring as L
 from ..operators import windows as W
 from ..plans.panel import load_panel, load_requests
+from ..sources import tables as A
 from ..streaming import streams as ST
 from . import monitoring_queries as MQ
 from .registry import ORACLE, query
@@ -122,12 +123,69 @@ def stream_ingest_profile(spark, sf_dir):
     return spark.read.parquet(path).drop("batch")
 
 
+@query("stream_request_rate", doubles=("rate",))
+def stream_request_rate(spark, sf_dir):
+    """L4 (T): sliding 2 h / 1 h rate and increase per endpoint on the stream."""
+    res = ST.run_update(L.rate(ST.request_stream(spark, sf_dir)), ["window_start", "window_end", "endpoint"], "rate")
+    return res.select(*_ntz("window_start", "window_end"), "endpoint", "increase", "rate")
+
+
+@query("stream_global_error_ratio", doubles=("error_ratio",))
+def stream_global_error_ratio(spark, sf_dir):
+    """L6 (T): the error ratio over all endpoints on the stream."""
+    res = ST.run_update(L.error_ratio(ST.request_stream(spark, sf_dir), by=()), ["window_start", "window_end"], "all-err-ratio")
+    return res.select(*_ntz("window_start", "window_end"), "requests", "errors", "error_ratio")
+
+
+#: Features of a request, with a reference mean and deviation (fixed inputs of the query).
+REQUEST_REFERENCE = [("latency_s", 1.0, 0.5), ("value", 40.0, 20.0)]
+
+
+@query("stream_drift_summary", doubles=("worst",), sql=f"""
+WITH {REQUESTS_CTE},
+h AS (SELECT date_trunc('hour', ts) AS w, feature, AVG(x) AS m, stddev_pop(x) AS s
+      FROM (SELECT ts, 'latency_s' AS feature, latency_s AS x FROM requests UNION ALL SELECT ts, 'value', value FROM requests) GROUP BY ALL),
+d AS (SELECT h.*, ROUND(LEAST(1.0, (0.6 * abs(m - rm) / (rs + 1e-9) + 0.4 * abs(s - rs) / (rs + 1e-9)) / 3.0), 4) AS score
+      FROM h JOIN (VALUES {", ".join(f"('{f}', CAST({m} AS DOUBLE), CAST({s} AS DOUBLE))" for f, m, s in REQUEST_REFERENCE)}) AS r(f, rm, rs) ON f = feature)
+SELECT time_bucket(INTERVAL 6 HOUR, w, TIMESTAMP '1970-01-01') AS span_start, feature, COUNT(*) AS windows,
+       CAST(SUM(CAST(score > 0.3 AS INTEGER)) AS BIGINT) AS drifted, CAST(SUM(CAST(score > 0.6 AS INTEGER)) AS BIGINT) AS severe, MAX(score) AS worst
+FROM d GROUP BY ALL""")
+def stream_drift_summary(spark, sf_dir):
+    """L10 + L11 + L14 (T): hourly drift scores of the request features, and per 6 h
+    how many hours drifted: two windowed aggregates in one streaming query,
+    over a replay of ``events`` in several micro-batches."""
+    events = A.read_table(spark, sf_dir, "events")
+    path = ST.replay_folder(events, "ts", "drift")
+    s = ST.requests_from_events(ST.folder_stream(spark, path, events.schema))
+    ref = spark.createDataFrame(REQUEST_REFERENCE, "feature string, ref_mean double, ref_std double")
+    out = ST.run_append(ST.drift_summary(ST.drift_windows(s, [f for f, _, _ in REQUEST_REFERENCE], ref)), "drift")
+    return out.select(*_ntz("span_start"), "feature", "windows", "drifted", "severe", "worst")
+
+
+@query("stream_sessions", sql=f"""
+WITH {REQUESTS_CTE},
+p AS (SELECT user_id, ts, epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS gap, event_id FROM requests),
+s AS (SELECT user_id, ts, SUM(CASE WHEN gap IS NULL OR gap > 1200500000 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM p)
+SELECT user_id, MIN(ts) AS first_ts, MAX(ts) AS last_ts, COUNT(*) AS events FROM s GROUP BY user_id, i""")
+def stream_sessions(spark, sf_dir):
+    """L20 (T): sessions of each user, closed by a silence of more than 1200.5 s
+    once the watermark has passed it (``session_window``, append mode)."""
+    events = A.read_table(spark, sf_dir, "events")
+    path = ST.replay_folder(events, "ts", "sessions")
+    s = ST.requests_from_events(ST.folder_stream(spark, path, events.schema))
+    out = ST.run_append(ST.sessions(s, "1200500 milliseconds", ["user_id"]), "sessions")
+    return out.select("user_id", *_ntz("first_ts", "last_ts"), "events")
+
+
 # stream = batch: the oracle of each streamed operator is its batch SQL
 ORACLE_ALIASES = {
     "stream_request_counts": "request_counts",
     "stream_error_ratio": "error_ratio",
     "stream_alert_hold": "alert_hold",
     "stream_silence_gaps": "silence_gaps",
+    "stream_request_rate": "request_rate",
+    "stream_global_error_ratio": "global_error_ratio",
 }
 for _s, _b in ORACLE_ALIASES.items():
     ORACLE[_s] = ORACLE[_b]

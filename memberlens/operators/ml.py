@@ -492,8 +492,8 @@ def gmm_em(df: DataFrame, feats: list[str], k: int, cov: str = "diag", max_iter:
     return scored, info
 
 
-#: Rows of a block of ``silhouette_exact``, and distances' components held at once.
-SILHOUETTE_BLOCK, SILHOUETTE_HELD = 4096, 1 << 22
+#: Rows of a block of ``silhouette_exact``, rows whose distances are held at once, and close pairs that are.
+SILHOUETTE_BLOCK, SILHOUETTE_ROWS, SILHOUETTE_PAIRS = 4096, 256, 1 << 16
 
 
 def silhouette_exact(df: DataFrame, key: str, vec: str, label: str, block: int = SILHOUETTE_BLOCK) -> DataFrame:
@@ -524,8 +524,17 @@ def silhouette_exact(df: DataFrame, key: str, vec: str, label: str, block: int =
         codes, clusters = pd.factorize(b["c"], use_na_sentinel=False)
         member = np.zeros((len(y), len(clusters)))
         member[np.arange(len(y)), codes] = 1.0
-        step = max(1, SILHOUETTE_HELD // y.size)
-        sums = np.concatenate([np.sqrt(((x[s:s + step, None, :] - y[None]) ** 2).sum(-1)) @ member for s in range(0, len(x), step)])
+        nx, ny, sums = (x ** 2).sum(1), (y ** 2).sum(1), []
+        for s in range(0, len(x), SILHOUETTE_ROWS):
+            part = x[s:s + SILHOUETTE_ROWS]
+            scale = nx[s:s + SILHOUETTE_ROWS, None] + ny
+            sq = scale - 2 * part @ y.T
+            i, j = np.nonzero(sq < 1e-6 * scale)            # close pairs, which cancel, by their differences
+            for p in range(0, len(i), SILHOUETTE_PAIRS):
+                at = slice(p, p + SILHOUETTE_PAIRS)
+                sq[i[at], j[at]] = ((part[i[at]] - y[j[at]]) ** 2).sum(1)
+            sums.append(np.sqrt(sq) @ member)
+        sums = np.concatenate(sums)
         return pd.DataFrame({"k": np.repeat(a["k"].to_numpy(), len(clusters)), "o": np.tile(np.asarray(clusters), len(x)), "s": sums.ravel()})
     tasks = blocks * blocks                     # dealt by number: few bytes, much work
     met = (left.repartition(tasks, "i", "j").groupBy("i", "j").cogroup(right.repartition(tasks, "i", "j").groupBy("i", "j"))

@@ -262,6 +262,42 @@ def gap_stream(stream: DataFrame, gap_s: float, tag: str = "gaps", ts: str = "ts
 def sessions(stream: DataFrame, gap: str, by: list[str] | None = None) -> DataFrame:
     """L20 (stream): activity sessions; a silence longer than ``gap`` closes a
     session (``session_window``)."""
-    return (stream.groupBy(F.session_window("ts", gap).alias("s"), *(by or []))
+    return (stream.groupBy(F.session_window("ts", gap).alias("s"), *(by or []))     # append mode: when the watermark passes its end
             .agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("last_ts"), F.min("ts").alias("first_ts"))
             .select(*(by or []), F.col("s.start").alias("session_start"), "first_ts", "last_ts", "events"))
+
+
+def drift_windows(stream: DataFrame, feats: list[str], ref: DataFrame, ts: str = "ts", window: str = "1 hour") -> DataFrame:
+    """L10 / L11 (stream): a row per closed window and feature with its mean, deviation
+    and drift score against the reference table (one row a feature, joined to the
+    stream's small aggregate).  ``w`` stays, so the rows can be aggregated again."""
+    from ..operators.monitoring import drift_score
+    wide = stream.groupBy(F.window(ts, window).alias("w")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.struct(F.lit(f).alias("feature"), F.avg(f).alias("cur_mean"), F.stddev_pop(f).alias("cur_std")) for f in feats]).alias("_s"))
+    return drift_score(wide.select("w", "n", F.inline("_s")), ref)
+
+
+def drift_summary(windows: DataFrame, span: str = "6 hours") -> DataFrame:
+    """L14 (stream): per feature and ``span`` the windows seen, those with drift and with
+    severe drift, and the worst score: a second windowed aggregate over the first
+    one's closed windows, both under the one watermark (append mode)."""
+    return (windows.groupBy(F.window(F.window_time("w"), span).alias("s"), "feature")
+            .agg(F.count(F.lit(1)).alias("windows"), F.sum("drift_detected").alias("drifted"),
+                 F.sum("severe_drift").alias("severe"), F.max("drift_score").alias("worst"))
+            .select(F.col("s.start").alias("span_start"), "feature", "windows", "drifted", "severe", "worst"))
+
+
+def replay_folder(df: DataFrame, at: str, tag: str, files: int = 4) -> str:
+    """Write a table as ``files`` files of equal spans of time, one after the other, and
+    end it (``close_folder``).  A file stream takes files by their time of writing,
+    so the replay comes in event-time order, a file a micro-batch.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    lo, hi = df.agg(F.min(epoch_us(at)), F.max(epoch_us(at))).first()
+    part = F.least(F.lit(files - 1), F.floor((epoch_us(at) - F.lit(lo)) * files / F.lit(max(1, (hi or 0) - (lo or 0)))))
+    for i in range(files):
+        df.where(part == i).sort(at).coalesce(1).write.mode("append").parquet(path)
+    close_folder(spark, path, at)
+    return path

@@ -137,3 +137,48 @@ def test_pivots_do_not_lose_values(spark, value):
     with pytest.raises(Exception, match="not one of"):
         D.forecast_table(long, ["a"]).collect()
     assert D.forecast_table(long, ["a", "new"]).first()["new"] == 2.0
+
+
+def events(spark, rows):
+    """(minute, user, value, key) as event rows."""
+    return spark.createDataFrame([(i, START + dt.timedelta(minutes=m), u, "click", v, f'{{"k": {k}}}') for i, (m, u, v, k) in enumerate(rows)],
+                                 "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+
+
+def test_two_chained_windows_over_batches_with_late_rows(spark):
+    """Hourly drift and its 6-hour summary equal a batch over all rows, with rows up to an hour late in later files."""
+    from memberlens.streaming import streams as ST
+    rnd = random.Random(6)
+    rows = sorted((rnd.randrange(0, 3000), 1, rnd.choice([20.0, 40.0, 90.0]) + rnd.random(), 0) for _ in range(900))
+    path = ST.scratch_path(spark, "late")
+    files = [rows[:300], rows[300:600], rows[600:]]
+    files[1] += [(files[0][-1][0] - 40, 1, 500.0, 0)]             # late, inside the watermark of two hours
+    for f in files:
+        events(spark, f).coalesce(1).write.mode("append").parquet(path)
+    ST.close_folder(spark, path, "ts")
+    ref = spark.createDataFrame([("value", 40.0, 20.0)], "feature string, ref_mean double, ref_std double")
+    s = ST.folder_stream(spark, path, events(spark, []).schema).withWatermark("ts", "2 hours")
+    out = ST.run_append(ST.drift_summary(ST.drift_windows(s, ["value"], ref)), "late")
+    by_hour = {}
+    for m, _, v, _ in (r for f in files for r in f):
+        by_hour.setdefault(m // 60, []).append(v)
+    want = {}
+    for h, v in by_hour.items():
+        score = round(min(1.0, (0.6 * abs(np.mean(v) - 40) / (20 + 1e-9) + 0.4 * abs(np.std(v) - 20) / (20 + 1e-9)) / 3), 4)
+        want.setdefault(h // 6, []).append(score)
+    got = {int((r.span_start - START).total_seconds() // 21600): r for r in out.collect()}
+    assert set(got) == set(want)
+    for k, scores in want.items():
+        assert (got[k].windows, got[k].drifted, got[k].severe) == (len(scores), sum(x > 0.3 for x in scores), sum(x > 0.6 for x in scores))
+        assert got[k].worst == pytest.approx(max(scores), abs=2e-4)
+
+
+def test_sessions_over_batches(spark):
+    from memberlens.streaming import streams as ST
+    rows = [(0, 1, 1.0, 0), (15, 1, 1.0, 0), (50, 1, 1.0, 0), (5, 2, 1.0, 0), (400, 1, 1.0, 0), (405, 2, 1.0, 0), (410, 1, 1.0, 0)]
+    path = ST.replay_folder(events(spark, rows), "ts", "sess", files=3)
+    s = ST.folder_stream(spark, path, events(spark, []).schema).withWatermark("ts", "1 hour")
+    got = ST.run_append(ST.sessions(s, "20 minutes", ["user_id"]), "sess").collect()
+    minute = lambda t: int((t - START).total_seconds() // 60)
+    assert sorted((r.user_id, minute(r.first_ts), minute(r.last_ts), r.events) for r in got) == \
+        [(1, 0, 15, 2), (1, 50, 50, 1), (1, 400, 410, 2), (2, 5, 5, 1), (2, 405, 405, 1)]
