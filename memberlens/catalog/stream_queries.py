@@ -4,12 +4,16 @@ operator (stream = batch)."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators import monitoring as L
 from ..operators import windows as W
 from ..plans.panel import load_panel, load_requests
+from ..session import cut_lineage
 from ..sources import tables as A
+from ..streaming import alert_chain as AC
 from ..streaming import streams as ST
 from . import monitoring_queries as MQ
 from .registry import ORACLE, query
@@ -68,6 +72,35 @@ def stream_alert_hold(spark, sf_dir):
     return out.select("alertname", "severity", "labels", *_ntz("eval_time", "active_since"), "state")
 
 
+def _evaluations_stream(spark, sf_dir, past: timedelta):
+    """Rule evaluations derived from the events, replayed in several micro-batches
+    under a watermark of 6 hours; the replay ends ``past`` after the last one."""
+    req = load_requests(spark, sf_dir)
+    ev = cut_lineage(L.evaluate_rules(L.metrics_long(req), L.rules_frame(spark)).select(
+        "alertname", "severity", "labels", F.col("eval_time").cast("timestamp").alias("eval_time"), "condition", "hold_s"))
+    path = ST.replay_folder(ev, "eval_time", "chain", files=3, past=past)
+    return ST.folder_stream(spark, path, ev.schema).withWatermark("eval_time", "6 hours")
+
+
+@query("stream_alert_transitions")
+def stream_alert_transitions(spark, sf_dir):
+    """L16 + L17 (T): firing and resolved changes of the replayed evaluations; a series
+    that vanishes is resolved by a timer.  The replay ends as the watermark
+    passes the last evaluation, so a series that fires then is not resolved."""
+    s = _evaluations_stream(spark, sf_dir, timedelta(hours=6, milliseconds=2))
+    out = AC.run_chain(AC.lifecycle(s, MQ.EVAL_STEP_S), "transitions")
+    return out.where("status IS NOT NULL").select("alertname", "severity", "labels", "eval_time", "status")
+
+
+@query("stream_alert_route")
+def stream_alert_route(spark, sf_dir):
+    """L16 + L19 (T): hold and routing chained in one streaming query; a row per
+    notification with the alerts of its repeat interval."""
+    s = _evaluations_stream(spark, sf_dir, timedelta(days=3650))
+    out = AC.run_chain(AC.notifications(AC.lifecycle(s, MQ.EVAL_STEP_S), {v: (r, n) for v, r, n in L.ROUTES}, L.DEFAULT_ROUTE), "route")
+    return out.where("kind = 'closed'").select("alertname", "severity", "receiver", "notify_time", "n_alerts", "labels")
+
+
 @query("stream_silence_gaps", doubles=("gap_s",))
 def stream_silence_gaps(spark, sf_dir):
     """L20 (T): silences of more than 20 minutes on the event stream (first
@@ -183,6 +216,8 @@ ORACLE_ALIASES = {
     "stream_request_counts": "request_counts",
     "stream_error_ratio": "error_ratio",
     "stream_alert_hold": "alert_hold",
+    "stream_alert_transitions": "alert_transitions",
+    "stream_alert_route": "alert_route",
     "stream_silence_gaps": "silence_gaps",
     "stream_request_rate": "request_rate",
     "stream_global_error_ratio": "global_error_ratio",

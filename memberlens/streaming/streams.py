@@ -74,13 +74,13 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set(key, old)
 
 
-def close_folder(spark: SparkSession, path: str, at: str, days: int = 3650) -> None:
-    """End a replayed folder: one more file with a row of nulls far in the future
-    of column ``at`` moves the watermark past all rows before it."""
+def close_folder(spark: SparkSession, path: str, at: str, past: timedelta = timedelta(days=3650)) -> None:
+    """End a replayed folder: one more file with a row of nulls, ``past`` after the last
+    row's ``at`` (far in the future), moves the watermark past all rows before it."""
     schema = spark.read.parquet(path).schema
     last = spark.read.parquet(path).agg(F.max(at).alias("t")).first()["t"]
     if last is not None:
-        row = [last + timedelta(days=days) if f.name == at else None for f in schema.fields]
+        row = [last + past if f.name == at else None for f in schema.fields]
         spark.createDataFrame([row], StructType([StructField(f.name, f.dataType, True) for f in schema.fields])) \
              .coalesce(1).write.mode("append").parquet(path)
 
@@ -288,9 +288,9 @@ def drift_summary(windows: DataFrame, span: str = "6 hours") -> DataFrame:
             .select(F.col("s.start").alias("span_start"), "feature", "windows", "drifted", "severe", "worst"))
 
 
-def replay_folder(df: DataFrame, at: str, tag: str, files: int = 4) -> str:
+def replay_folder(df: DataFrame, at: str, tag: str, files: int = 4, past: timedelta = timedelta(days=3650)) -> str:
     """Write a table as ``files`` files of equal spans of time, one after the other, and
-    end it (``close_folder``).  A file stream takes files by their time of writing,
+    end it (``close_folder``, ``past``).  A file stream takes files by their time of writing,
     so the replay comes in event-time order, a file a micro-batch.
     """
     spark = df.sparkSession
@@ -299,5 +299,5 @@ def replay_folder(df: DataFrame, at: str, tag: str, files: int = 4) -> str:
     part = F.least(F.lit(files - 1), F.floor((epoch_us(at) - F.lit(lo)) * files / F.lit(max(1, (hi or 0) - (lo or 0)))))
     for i in range(files):
         df.where(part == i).sort(at).coalesce(1).write.mode("append").parquet(path)
-    close_folder(spark, path, at)
+    close_folder(spark, path, at, past)
     return path

@@ -1,12 +1,14 @@
 """Stream = batch, late data inside / beyond the watermark, stateful hold."""
 
 import os
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from memberlens.operators import monitoring as L
 from memberlens.plans.panel import load_requests
+from memberlens.streaming import alert_chain as AC
 from memberlens.streaming import streams as ST
 
 from .conftest import SF_SMALL
@@ -163,3 +165,69 @@ def test_batch_throttle_keeps_the_repeat_interval(spark):
     rows = [("A", "critical", "x", f"2024-01-01 00:{m:02d}:00") for m in (14, 16, 29, 31)]
     f = spark.createDataFrame(rows, "alertname string, severity string, labels string, t string").withColumn("eval_time", F.col("t").cast("timestamp"))
     assert sorted(r.notify_time.minute for r in L.route_alerts(f).collect()) == [14, 29]
+
+
+EVALS = "alertname string, severity string, labels string, eval_time string, condition boolean, hold_s double"
+
+
+def _chain(spark, batches, build, past, watermark="1 hour"):
+    """Each list of rows a micro-batch, in the given order, then the end."""
+    path = ST.scratch_path(spark, "t-chain")
+    for rows in batches:
+        spark.createDataFrame(rows, EVALS).withColumn("eval_time", F.col("eval_time").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    ST.close_folder(spark, path, "eval_time", past)
+    s = ST.folder_stream(spark, path, spark.read.parquet(path).schema).withWatermark("eval_time", watermark)
+    return AC.run_chain(build(s), "t-chain-out").collect()
+
+
+def _at(day_hour, on=True, label="x", name="A", severity="critical", hold=3600.0):
+    return (name, severity, label, f"2024-01-{day_hour}:00:00", on, hold)
+
+
+def test_lifecycle_stream_takes_late_rows_and_resolves_vanished_series(spark):
+    batches = [[_at("01 02"), _at("01 00"), _at("01 00", label=None)], [_at("01 01"), _at("01 04", name="B")],
+               [_at("01 03", on=False), _at("01 04")], [_at("01 05")], [_at("02 00")]]
+    out = _chain(spark, batches, lambda s: AC.lifecycle(s, 3600), timedelta(hours=1, milliseconds=2), "4 hours")
+    changes = sorted((r.eval_time.strftime("%d %H"), r.status) for r in out if r.alertname == "A" and r.labels == "x" and r.status)
+    assert changes == [("01 01", "firing"), ("01 03", "resolved"), ("01 05", "firing"), ("01 06", "resolved")]
+    assert {(r.alertname, r.status) for r in out if r.alertname == "B" or r.labels is None} == {("A", None), ("B", None)}
+    # the batch form on the same rows
+    ev = spark.createDataFrame([r for b in batches for r in b], EVALS).withColumn("eval_time", F.col("eval_time").cast("timestamp"))
+    states = L.hold(ev, ["alertname", "labels"], step_s=3600)
+    want = L.alert_transitions(states, ["alertname", "labels"], step_s=3600).collect()
+    assert sorted((r.alertname, r.labels, str(r.eval_time), r.status) for r in want) == \
+        sorted((r.alertname, r.labels, str(r.eval_time), r.status) for r in out if r.status)
+
+
+def test_notification_chain_equals_batch_and_notifies_at_once(spark):
+    hot = [[_at(f"01 {h:02d}", label=f"l{i}", severity=sev, name=sev, hold=0.0) for i in range(3) for sev in ("critical", "warning")
+            if (h + i) % 4] for h in (0, 2, 1, 3, 5, 4, 9)]
+    receivers = {"critical": ("critical-receiver", 7200)}
+    out = _chain(spark, hot, lambda s: AC.notifications(AC.lifecycle(s, 3600), receivers, ("log-receiver", 10800)), timedelta(days=30), "2 hours")
+    firing, want = {}, []
+    for name, _, label, t, _, _ in (r for b in hot for r in b):
+        firing.setdefault(name, []).append((t, label))
+    hour = lambda t: int(t[11:13])
+    for name, alerts in firing.items():                   # brute force: walk a group's alerts in order
+        repeat, began = (2 if name == "critical" else 3), None
+        for t, label in sorted(alerts):
+            if began is None or hour(t) - began >= repeat:
+                began = hour(t)
+                want.append([name, began, 0, set()])
+            want[-1][2] += 1
+            want[-1][3].add(label)
+    assert sorted((r.alertname, r.notify_time.hour, r.n_alerts, tuple(r.labels)) for r in out if r.kind == "closed") == \
+        sorted((n, h, c, tuple(sorted(s))) for n, h, c, s in want)
+    at_once = {(r.alertname, r.notify_time): r for r in out if r.kind == "notify"}
+    for r in out:
+        if r.kind == "closed":
+            first = at_once.pop((r.alertname, r.notify_time))
+            assert first.emitted <= r.emitted and set(first.labels) <= set(r.labels) and first.n_alerts <= r.n_alerts
+    assert not at_once
+
+
+def test_chain_of_an_empty_stream_is_empty(spark):
+    path = ST.scratch_path(spark, "t-none")
+    spark.createDataFrame([], EVALS).withColumn("eval_time", F.col("eval_time").cast("timestamp")).write.parquet(path)
+    s = ST.folder_stream(spark, path, spark.read.parquet(path).schema).withWatermark("eval_time", "1 hour")
+    assert AC.run_chain(AC.notifications(AC.lifecycle(s, 3600), {}, ("log-receiver", 60)), "t-none-out").count() == 0
