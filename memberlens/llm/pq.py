@@ -30,16 +30,28 @@ RECALL = 0.995
 QUERIES, PAIRS, STEPS = 2048, 1 << 16, 512
 #: Rows of a block of a list's queries and of its codes.
 QUERY_BLOCK, CODE_BLOCK = 4096, 4096
+#: Rows of the fit's sample that are compared with all centroids at once.
+FIT_BLOCK = 2048
+
+
+def nearest(x: np.ndarray, c: np.ndarray):
+    """Yield (slice of the rows, nearest centroid of each), FIT_BLOCK rows at a time."""
+    half = (c ** 2).sum(1) / 2
+    for s in range(0, len(x), FIT_BLOCK):
+        yield slice(s, s + FIT_BLOCK), np.argmax(x[s:s + FIT_BLOCK] @ c.T - half, axis=1)
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
-    """Centroids by Lloyd's rounds from evenly spaced rows; an empty cell keeps its centroid."""
+    """Centroids by Lloyd's rounds from evenly spaced rows; an empty cell keeps its centroid.
+    Beside ``x`` it holds FIT_BLOCK x k products and the sums of the cells."""
     c = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        cell = np.argmax(x @ c.T - (c ** 2).sum(1) / 2, axis=1)
-        n = np.bincount(cell, minlength=k)
-        total = np.zeros_like(c)
-        np.add.at(total, cell, x)
+        n, total = np.zeros(k, np.int64), np.zeros_like(c)
+        for rows, cell in nearest(x, c):
+            order = np.argsort(cell, kind="stable")
+            cells, first = np.unique(cell[order], return_index=True)
+            total[cells] += np.add.reduceat(x[rows][order], first)
+            n += np.bincount(cell, minlength=k)
         c = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], c)
     return c
 
@@ -47,7 +59,9 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 def fit(sample: np.ndarray, lists: int, subspaces: int = SUBSPACES, codewords: int = CODEWORDS) -> dict:
     """Coarse centroids and one codebook per subspace for the residuals of unit vectors."""
     c = kmeans(sample, min(lists, len(sample)))
-    rest = sample - c[np.argmax(sample @ c.T - (c ** 2).sum(1) / 2, axis=1)]
+    rest = sample.copy()
+    for rows, cell in nearest(sample, c):
+        rest[rows] -= c[cell]
     parts = np.array_split(np.arange(sample.shape[1]), min(subspaces, sample.shape[1]))
     books = [kmeans(rest[:, p], min(codewords, len(sample))) for p in parts]
     return {"centroids": c, "parts": parts, "books": books}

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
+from memberlens.llm import pq
 from memberlens.llm import queries as Q
 from memberlens.llm.pq import near_embeddings
 from memberlens.llm.quality import calibrate, difference, compressor, fit_quality, score_quality
@@ -168,6 +169,28 @@ def test_embeddings_recall_where_vectors_vary_in_few_directions(spark, rank):
     assert 0.99 * true <= got.n_links.sum() <= true + 2
 
 
+def test_kmeans_in_blocks_equals_plain_rounds(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 6))
+    c = x[np.linspace(0, 499, 20).astype(int)].copy()
+    for _ in range(10):
+        cell = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+        c = np.array([x[cell == i].mean(0) if (cell == i).any() else c[i] for i in range(20)])
+    for block in (7, 64, 2048):
+        monkeypatch.setattr(pq, "FIT_BLOCK", block)
+        assert np.allclose(pq.kmeans(x, 20), c)
+
+
+def test_fit_holds_no_sample_by_lists_matrix():
+    import tracemalloc
+    x = np.random.default_rng(1).normal(size=(16384, 16))
+    tracemalloc.start()
+    pq.fit(x, 512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20                            # the whole matrix alone has 64 MB
+
+
 def test_embeddings_empty_and_repeated(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert near_embeddings(spark.createDataFrame([], schema)).count() == 0
