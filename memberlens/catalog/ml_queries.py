@@ -14,8 +14,10 @@ from ..operators import anomaly as A
 from ..operators import cleaning as B
 from ..operators import metrics as M
 from ..operators import ml as ML
+from ..operators import selection as S
 from ..operators import windows as W
 from ..plans.panel import load_panel
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from .analytics_queries import FEATURE_COLS
 from .registry import query
@@ -420,3 +422,21 @@ def leak_model(spark, sf_dir):
     oof = ML.oof_predict(f, pipe, ML.hash_folds("unit", 5))
     folds = oof.groupBy("fold").agg(F.avg(F.abs(F.col("leak_rate") - F.col("prediction"))).alias("mae"))
     return D.cv_summary(folds, "mae")
+
+
+@query("logit_grid")
+def logit_grid(spark, sf_dir):
+    """J5 + J23 + J24: balanced logit over six C and five hashed folds of the documents,
+    all candidates fitted together; pooled out-of-fold metrics and the best C."""
+    f = _doc_features(spark, sf_dir).dropna()
+    fold, k = ML.hash_folds("doc_id", 5)
+    oof = S.logit_grid(f.withColumn("fold", fold), "doc_id", _DOC_FEATS, "quality", "fold", [0.001, 0.01, 0.1, 1.0, 10.0, 100.0])
+    return S.grid_metrics(cut_lineage(oof))
+
+
+@query("k_selection")
+def k_selection(spark, sf_dir):
+    """J8 + J9b + J10 + J11: k-means and mixtures for k = 2..4, ten starts each, on the
+    scaled unit profile; quality per k and both picks."""
+    z = ML.pop_scale(_unit_profile(spark, sf_dir), _CLU_FEATS, suffix="__z").na.fill(0.0)
+    return S.k_selection(z, "unit", [c + "__z" for c in _CLU_FEATS], [2, 3, 4])
