@@ -61,3 +61,59 @@ def sig_sql(expr: str, digits: int = 10) -> str:
     e = f"floor(log10(abs({expr})))"
     return (f"CASE WHEN {expr} = 0 OR {expr} IS NULL THEN {expr} "
             f"ELSE round({expr} / pow(10.0, {e}), {digits - 1}) * pow(10.0, {e}) END")
+
+
+def solve_cte(name: str, matrix: str, size: int) -> str:
+    """CTE ``name(w)``: the solution of the augmented ``matrix(m)`` of ``size`` rows, a recursive
+    elimination without pivoting (the matrix is positive definite)."""
+    p = "m[k + 1][k + 1]"
+    return f"""
+{name}_e(k, m) AS (
+  SELECT 0, m FROM {matrix}
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, {size + 1}), lambda i: list_transform(range(1, {size + 2}), lambda j:
+           CASE WHEN i = k + 1 THEN m[i][j] / {p} ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / {p} END))
+  FROM {name}_e WHERE k < {size}),
+{name} AS MATERIALIZED (SELECT list_transform(range(1, {size + 1}), lambda i: m[i][{size + 1}]) AS w FROM {name}_e WHERE k = {size})"""
+
+
+def scaled_cte(name: str, source: str, feats: list[str], y: str) -> str:
+    """CTEs ``name_s`` (means and deviations) and ``name`` (list z of scaled features, y)."""
+    return f"""
+{name}_s AS MATERIALIZED (SELECT """ + ", ".join(
+        f"AVG({f}) AS m{i}, CASE WHEN STDDEV_POP({f}) > 0 THEN STDDEV_POP({f}) ELSE 1.0 END AS s{i}" for i, f in enumerate(feats)) + f"""
+  FROM {source}),
+{name} AS MATERIALIZED (SELECT [""" + ", ".join(f"({f} - m{i}) / s{i}" for i, f in enumerate(feats)) + f"""] AS z, CAST({y} AS DOUBLE) AS y
+  FROM {source}, {name}_s)"""
+
+
+def ridge_cte(name: str, source: str, feats: list[str], y: str, alpha: float) -> str:
+    """CTE ``name(w, b)``: ridge coefficients of the raw features and the intercept (normal equations)."""
+    p = len(feats)
+    rows = ", ".join("[" + ", ".join([f"SUM(z[{i}] * z[{j}])" + (f" + {alpha}" if i == j else "") for j in range(1, p + 1)]
+                                     + [f"SUM(z[{i}] * (y - ym))"]) + "]" for i in range(1, p + 1))
+    return scaled_cte(f"{name}_z", source, feats, y) + f""",
+{name}_g AS MATERIALIZED (SELECT [{rows}] AS m FROM {name}_z, (SELECT AVG(y) AS ym FROM {name}_z)),""" + solve_cte(f"{name}_w", f"{name}_g", p) + f""",
+{name} AS MATERIALIZED (SELECT [""" + ", ".join(f"w[{i + 1}] / s{i}" for i in range(p)) + """] AS w,
+  (SELECT AVG(y) FROM """ + f"{name}_z) - (" + " + ".join(f"w[{i + 1}] / s{i} * m{i}" for i in range(p)) + f") AS b, w AS w_scaled FROM {name}_w, {name}_z_s)"
+
+
+def logit_cte(name: str, source: str, feats: list[str], y: str, C: float, steps: int = 10) -> str:
+    """CTE ``name(w, b)``: balanced L2 logistic regression by ``steps`` Newton steps from zero."""
+    p = len(feats) + 1
+    out = scaled_cte(f"{name}_z", source, feats, y) + f""",
+{name}_d AS MATERIALIZED (SELECT list_prepend(1.0, z) AS z, y,
+  CASE WHEN y = 1 THEN COUNT(*) OVER () / (2.0 * SUM(y) OVER ()) ELSE COUNT(*) OVER () / (2.0 * (COUNT(*) OVER () - SUM(y) OVER ())) END AS wt
+  FROM {name}_z),
+{name}_w0 AS (SELECT list_transform(range(1, {p + 1}), lambda i: CAST(0.0 AS DOUBLE)) AS w)"""
+    for t in range(steps):
+        rows = ", ".join("[" + ", ".join(
+            [f"SUM(wt * p * (1 - p) * z[{i}] * z[{j}])" + (f" + {1 / C}" if i == j and i > 1 else "") for j in range(1, p + 1)]
+            + [f"-SUM(wt * (p - y) * z[{i}])" + (f" - {1 / C} * ANY_VALUE(w)[{i}]" if i > 1 else "")]) + "]" for i in range(1, p + 1))
+        out += f""",
+{name}_h{t} AS MATERIALIZED (SELECT [{rows}] AS m
+  FROM (SELECT z, y, wt, w, 1 / (1 + exp(-list_dot_product(z, w))) AS p FROM {name}_d, {name}_w{t})),""" + solve_cte(f"{name}_x{t}", f"{name}_h{t}", p) + f""",
+{name}_w{t + 1} AS MATERIALIZED (SELECT list_transform(range(1, {p + 1}), lambda i: a.w[i] + b.w[i]) AS w FROM {name}_w{t} a, {name}_x{t} b)"""
+    return out + f""",
+{name} AS MATERIALIZED (SELECT [""" + ", ".join(f"w[{i + 2}] / s{i}" for i in range(p - 1)) + "] AS w, w[1] - (" + \
+        " + ".join(f"w[{i + 2}] / s{i} * m{i}" for i in range(p - 1)) + f") AS b FROM {name}_w{steps}, {name}_z_s)"

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import with_scalars
 from ..session import cut_lineage
-from .ml import pop_scale
+from .ml import pop_scale, pop_stats
 from .quantile import exact_quantile
 
 
@@ -214,21 +214,15 @@ def _path_length(X: np.ndarray, tree) -> np.ndarray:
     return depth + _c(size[pos])
 
 
-def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int = 100,
-                     max_samples: int = 256, contamination: float = 0.15, seed: int = 42) -> DataFrame:
-    """Isolation Forest (Liu et al. 2008).
-
-    Each tree samples <= ``max_samples`` rows by hashing (row id, tree id)
-    - a bounded group - and grows in ``groupBy(tree).applyInPandas``.  The
-    forest (trees x <= 2*max_samples nodes) is broadcast; rows are scored by
-    ``mapInPandas``.  score = 2^(-E[h]/c(psi)); decision = 0.5 - score
-    shifted by its contamination quantile, anomaly when decision < 0.
-    """
-    spark = df.sparkSession
-    base = pop_scale(df, feats, suffix="__z")
+def _forest_points(df: DataFrame, id_col: str, feats: list[str], stats: DataFrame | None = None) -> DataFrame:
+    """(id, scaled features); a missing feature counts as the mean."""
     zc = [c + "__z" for c in feats]
-    # sampled, counted and scored: build once; a missing feature counts as the mean
-    pts = base.select(F.col(id_col), *[F.coalesce(F.nanvl(F.col(c), F.lit(None).cast("double")), F.lit(0.0)).alias(c) for c in zc]).cache()
+    return pop_scale(df, feats, stats=stats, suffix="__z").select(
+        F.col(id_col), *[F.coalesce(F.nanvl(F.col(c), F.lit(None).cast("double")), F.lit(0.0)).alias(c) for c in zc])
+
+
+def _grow_forest(pts: DataFrame, id_col: str, zc: list[str], trees: int, max_samples: int, seed: int):
+    """The packed trees over cached points and their sample size."""
     n = pts.count()
     psi = int(min(max_samples, n))
     frac = min(1.0, 4.0 * psi / max(n, 1))
@@ -255,20 +249,52 @@ def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int =
 
     forest = samp.groupBy("tree").applyInPandas(
         grow, "tree int, node long, feat long, thr double, left long, right long, size long").toPandas()
-    packed = [tuple(g.sort_values("node")[c].to_numpy() for c in ("feat", "thr", "left", "right", "size"))
-              for _, g in forest.groupby("tree")]
-    bc = spark.sparkContext.broadcast(packed)
-    cpsi = float(_c(np.array([psi]))[0])
+    return [tuple(g.sort_values("node")[c].to_numpy() for c in ("feat", "thr", "left", "right", "size"))
+            for _, g in forest.groupby("tree")], psi
+
+
+def forest_scores(X: np.ndarray, packed: list, psi: int) -> np.ndarray:
+    """0.5 - 2^(-E[h]/c(psi)) of scaled rows, before the threshold is taken off."""
+    h = np.mean([_path_length(X, t) for t in packed], axis=0)
+    return 0.5 - 2.0 ** (-h / float(_c(np.array([psi]))[0]))
+
+
+def _score_points(pts: DataFrame, id_col: str, zc: list[str], packed: list, psi: int) -> DataFrame:
+    bc = pts.sparkSession.sparkContext.broadcast(packed)
 
     def score(batches):
-        fr = bc.value
         for pdf in batches:
-            X = pdf[zc].to_numpy(dtype=float)
-            h = np.mean([_path_length(X, t) for t in fr], axis=0)
-            yield pd.DataFrame({id_col: pdf[id_col], "iso_score": 0.5 - 2.0 ** (-h / cpsi)})
+            yield pd.DataFrame({id_col: pdf[id_col], "iso_score": forest_scores(pdf[zc].to_numpy(dtype=float), bc.value, psi)})
+    return pts.mapInPandas(score, T.StructType([pts.schema[id_col], T.StructField("iso_score", T.DoubleType())]))
+
+
+def forest_fit(df: DataFrame, id_col: str, feats: list[str], trees: int = 100, max_samples: int = 256,
+               contamination: float = 0.15, seed: int = 42):
+    """J14 as a fit: packed trees, sample size, threshold, and the scaler's means and deviations."""
+    stats = cut_lineage(pop_stats(df, feats))
+    row, zc = stats.first(), [c + "__z" for c in feats]
+    pts = _forest_points(df, id_col, feats, stats).cache()
+    packed, psi = _grow_forest(pts, id_col, zc, trees, max_samples, seed)
+    offset = exact_quantile(cut_lineage(_score_points(pts, id_col, zc, packed, psi)), "iso_score", contamination)
+    pts.unpersist()
+    std = np.array([row[f"{c}__std"] or 1.0 for c in feats])
+    return packed, psi, float(offset), np.array([row[f"{c}__mean"] or 0.0 for c in feats]), std
+
+
+def isolation_forest(df: DataFrame, id_col: str, feats: list[str], trees: int = 100,
+                     max_samples: int = 256, contamination: float = 0.15, seed: int = 42) -> DataFrame:
+    """Isolation Forest (Liu et al. 2008).
 
-    sc = pts.mapInPandas(score, T.StructType([pts.schema[id_col], T.StructField("iso_score", T.DoubleType())])) \
-            .cache()                                   # (id, score): read by the threshold and the output
+    Each tree samples <= ``max_samples`` rows by hashing (row id, tree id)
+    - a bounded group - and grows in ``groupBy(tree).applyInPandas``.  The
+    forest (trees x <= 2*max_samples nodes) is broadcast; rows are scored by
+    ``mapInPandas``.  score = 2^(-E[h]/c(psi)); decision = 0.5 - score
+    shifted by its contamination quantile, anomaly when decision < 0.
+    """
+    zc = [c + "__z" for c in feats]
+    pts = _forest_points(df, id_col, feats).cache()        # sampled, counted and scored: build once
+    packed, psi = _grow_forest(pts, id_col, zc, trees, max_samples, seed)
+    sc = _score_points(pts, id_col, zc, packed, psi).cache()   # (id, score): read by the threshold and the output
     off = exact_quantile(sc, "iso_score", contamination)
     sc = sc.select(id_col, (F.col("iso_score") - F.lit(off)).alias("iso_score"))
     sc = sc.withColumn("iso_anomaly", (F.col("iso_score") < 0).cast("int"))

@@ -488,7 +488,8 @@ def gmm_em(df: DataFrame, feats: list[str], k: int, cov: str = "diag", max_iter:
     cov_params = {"diag": k * d, "spherical": k, "tied": d * (d + 1) / 2}[cov]
     p = k * d + cov_params + k - 1
     info = {"cov": cov, "k": k, "iterations": it, "log_likelihood": ll,
-            "bic": -2 * ll + p * np.log(n), "aic": -2 * ll + 2 * p}
+            "bic": -2 * ll + p * np.log(n), "aic": -2 * ll + 2 * p, "weights": w, "means": mu,
+            "covariances": np.array([shared if cov == "tied" else np.diag(np.broadcast_to(v.mean() if cov == "spherical" else v, d)) for v in var])}
     return scored, info
 
 
