@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as D
 from ..operators import ledger as K
+from ..operators import registry as G
 from ..operators import timeseries as TS
 from ..plans.panel import load_panel
 from ..session import cut_lineage
 from ..sources.tables import read_table
+from ..streaming.streams import scratch_path
 from .registry import query
 from .sqlparts import PANEL_CTE
 
@@ -193,3 +195,61 @@ def registry_report(spark, sf_dir):
     return K.registry_report(ledger_once(spark, sf_dir), spark)
 
 
+# The model whose runs are kept out of the gate, so that its ``metric`` tag counts.
+TAGGED_MODEL = "panel_drift_forecast"
+
+
+def _run_records(spark, sf_dir):
+    return G.run_records(build_ledger(spark, sf_dir),
+                         tags={"section": F.col("section"), "validation": F.when(F.col("section") == "timeseries", "expanding")},
+                         params={"version": F.col("version"), "threshold": F.when(F.col("section") == "classification", F.element_at(F.split("model", "_"), -1))})
+
+
+@query("run_records", doubles=("r2", "f1", "accuracy"), sql=f"""
+WITH {_LEDGER_CTE}
+SELECT run_id, model AS run_name, section, section AS tag_section, CASE WHEN section = 'timeseries' THEN 'expanding' END AS tag_validation,
+       CASE WHEN section = 'classification' THEN split_part(model, '_', 3) END AS param_threshold, CAST(version AS VARCHAR) AS param_version,
+       CAST(COUNT(DISTINCT metric_name) AS INTEGER) AS n_metrics, MAX(metric_value) FILTER (WHERE metric_name = 'R2') AS r2,
+       MAX(metric_value) FILTER (WHERE metric_name = 'F1') AS f1, MAX(metric_value) FILTER (WHERE metric_name = 'Accuracy') AS accuracy
+FROM ledger GROUP BY run_id, model, section, version""")
+def run_records(spark, sf_dir):
+    """K1: run records with tags, params and metrics as maps, written as a batch and looked up by key."""
+    path = scratch_path(spark, "runs")
+    G.append_runs(_run_records(spark, sf_dir), path, "all")
+    r = spark.read.parquet(path)
+    return r.select("run_id", "run_name", "section", F.element_at("tags", "section").alias("tag_section"), F.element_at("tags", "validation").alias("tag_validation"),
+                    F.element_at("params", "threshold").alias("param_threshold"), F.element_at("params", "version").alias("param_version"),
+                    F.size("metrics").alias("n_metrics"), F.element_at("metrics", "R2").alias("r2"), F.element_at("metrics", "F1").alias("f1"),
+                    F.element_at("metrics", "Accuracy").alias("accuracy"))
+
+
+@query("registry_aliases", sql=f"""
+WITH {_LEDGER_CTE},
+best2 AS (SELECT section, registered_name AS staged FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY section ORDER BY score DESC, start_time DESC, run_id DESC) AS rn
+            FROM scored WHERE registered_name <> '{TAGGED_MODEL}') WHERE rn = 1),
+val AS (SELECT m.registered_name AS model, m.section, lv.latest_version AS version, COALESCE(gb.threshold, 0.0) AS threshold,
+               printf('%s=%.3f', sm.key_metric, gb.best_value) AS metric,
+               CASE WHEN m.registered_name = '{TAGGED_MODEL}' THEN CAST(printf('%.3f', gb.best_value) AS DOUBLE) ELSE gb.best_value END AS value
+        FROM mods m JOIN sm ON m.section = sm.section JOIN lv ON m.registered_name = lv.registered_name
+        JOIN gb ON gb.registered_name = m.registered_name AND gb.section = m.section AND gb.metric_name = sm.key_metric),
+st AS (SELECT val.*, value >= threshold AS ok, COALESCE(model = staged, FALSE) AS staged_now FROM val LEFT JOIN best2 ON val.section = best2.section)
+SELECT model, version, CASE WHEN ok THEN 'production' WHEN staged_now THEN 'staging' ELSE 'registered' END AS stage,
+       CASE WHEN ok THEN 'true' ELSE 'false' END AS validated,
+       CASE WHEN ok AND staged_now THEN 'production, staging' WHEN ok THEN 'production' WHEN staged_now THEN 'staging' ELSE '-' END AS aliases,
+       metric, COUNT(*) FILTER (WHERE ok) OVER () AS n_production
+FROM st""")
+def registry_aliases(spark, sf_dir):
+    """K5-K7: a registry of the ledger's models, promoted twice in a row and reported; one model has no
+    runs of its own, so the gate reads the text of its tag."""
+    runs, root = cut_lineage(_run_records(spark, sf_dir)), scratch_path(spark, "registry")
+    key = G.metric_of(F.col("section"))
+    models = runs.groupBy(F.col("registered_name").alias("name"), "section").agg(
+        F.max(F.element_at("params", "version").cast("int")).alias("version"),
+        F.create_map(F.lit("metric"), F.concat(F.any_value(key), F.lit("="), F.format_string("%.3f", F.max(F.element_at("metrics", key))))).alias("tags")) \
+        .withColumn("aliases", F.lit(None).cast(G.MODEL_SCHEMA["aliases"].dataType))
+    G.write_registry(models, root)
+    own = runs.where(F.col("registered_name") != TAGGED_MODEL)
+    for _ in range(2):
+        G.write_registry(G.promote_models(G.read_registry(spark, root), own), root)
+    return G.models_report(G.read_registry(spark, root))
