@@ -358,20 +358,24 @@ _NPF_DOUBLES = ("members_lag1", "leak_rate_lag1", "growth_rate_lag1", "delta_mem
                 "avg_members_unite_past", "retention_rate", "members_x_retention")
 
 
-@query("next_period_features", doubles=_NPF_DOUBLES, sql=f"""
-WITH {PANEL_CTE},
+NEXT_PERIOD_CTE = """
 a AS (SELECT unit, MAX(period) AS lp, CAST(arg_max(members, period) AS DOUBLE) AS m_last,
              arg_max(leak_rate, period) AS leak_last, AVG(members) AS avg_members_unite_past, COUNT(*) AS n
       FROM panel GROUP BY unit),
 r AS (SELECT unit, members, ROW_NUMBER() OVER (PARTITION BY unit ORDER BY period DESC) AS rn FROM panel),
 p AS (SELECT unit, CAST(members AS DOUBLE) AS m_prev FROM r WHERE rn = 2),
-j AS (SELECT a.*, COALESCE(p.m_prev, a.m_last) AS mp FROM a LEFT JOIN p ON a.unit = p.unit)
-SELECT unit, lp + 1 AS period, m_last AS members_lag1, leak_last AS leak_rate_lag1,
+j AS (SELECT a.*, COALESCE(p.m_prev, a.m_last) AS mp FROM a LEFT JOIN p ON a.unit = p.unit),
+npf AS (SELECT unit, lp + 1 AS period, m_last AS members_lag1, leak_last AS leak_rate_lag1,
        CASE WHEN mp > 0 THEN (m_last - mp) / mp * 100.0 ELSE 0.0 END AS growth_rate_lag1,
        m_last - mp AS delta_members_lag1, avg_members_unite_past,
        CAST(n + 1 AS INTEGER) AS season_index,
        1 - leak_last / 100.0 AS retention_rate, m_last * (1 - leak_last / 100.0) AS members_x_retention
-FROM j""")
+FROM j)"""
+
+
+@query("next_period_features", doubles=_NPF_DOUBLES, sql=f"""
+WITH {PANEL_CTE},{NEXT_PERIOD_CTE}
+SELECT * FROM npf""")
 def next_period_features(spark, sf_dir):
     """Feature row for the next period of every unit."""
     return W.next_period_features(load_panel(spark, sf_dir))

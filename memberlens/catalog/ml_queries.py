@@ -19,9 +19,9 @@ from ..operators import windows as W
 from ..plans.panel import load_panel
 from ..session import cut_lineage
 from ..sources.tables import read_table
-from .analytics_queries import FEATURE_COLS
+from .analytics_queries import FEATURE_COLS, NEXT_PERIOD_CTE
 from .registry import query
-from .sqlparts import PANEL_CTE
+from .sqlparts import FEATURES_CTE, PANEL_CTE, ridge_cte, train_cte
 
 ANOM_FEATS = ["members", "leak_rate", "growth_rate", "delta_members", "retention_rate",
               "members_x_retention", "deviation_from_avg"]
@@ -297,7 +297,14 @@ def _reg_features(spark, sf_dir):
     return W.build_features(load_panel(spark, sf_dir))
 
 
-@query("ridge_fit")
+_TRAIN_SQL, _SQL_FEATS = train_cte(FEATURE_COLS)
+_RIDGE_CTE = FEATURES_CTE + "," + _TRAIN_SQL + "," + ridge_cte("rg", "train", _SQL_FEATS, "members", 0.01)
+
+
+@query("ridge_fit", doubles=("coefficient", "standardized_coefficient"), sql=f"""
+WITH RECURSIVE {_RIDGE_CTE}
+SELECT UNNEST({FEATURE_COLS}) AS feature, UNNEST(w) AS coefficient, UNNEST(w_scaled) AS standardized_coefficient FROM rg
+UNION ALL SELECT '(intercept)', b, NULL FROM rg""")
 def ridge_fit(spark, sf_dir):
     """J2 + J21: ridge (alpha 0.01) coefficients on the lag features."""
     return ML.ridge_fit(_reg_features(spark, sf_dir), FEATURE_COLS, "members", 0.01)
@@ -316,7 +323,11 @@ def grid_search(spark, sf_dir):
                          [0.001, 0.01, 0.1, 1.0, 10.0, 50.0, 100.0], ["unit", "period"])
 
 
-@query("score_next_period")
+@query("score_next_period", doubles=("members_lag1", "pred_members"), sql=f"""
+WITH RECURSIVE {_RIDGE_CTE},{NEXT_PERIOD_CTE}
+SELECT unit, period, members_lag1,
+       GREATEST(0.0, rg.b + list_dot_product([{", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURE_COLS)}], rg.w)) AS pred_members
+FROM npf, rg""")
 def score_next_period(spark, sf_dir):
     """Next-period member forecast per unit (ridge coefficients inlined
     as column arithmetic, clamped at 0)."""

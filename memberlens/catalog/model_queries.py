@@ -19,16 +19,13 @@ from ..streaming import streams as ST
 from ..streaming.scoring import score_stream
 from .analytics_queries import FEATURE_COLS
 from .registry import query
-from .sqlparts import FEATURES_CTE, logit_cte, ridge_cte
+from .sqlparts import FEATURES_CTE, logit_cte, ridge_cte, train_cte
 
 # Penalties of the ridge and of the balanced logit.
 ALPHA, LOGIT_C = 0.01, 0.001
 REPLAY_FILES = 3
 
-TRAIN_SQL = """
-train AS MATERIALIZED (SELECT unit, period, CAST(members AS DOUBLE) AS members, CAST(leak_rate > 0 AS INTEGER) AS losing, """ + \
-    ", ".join(f"COALESCE(CAST({f} AS DOUBLE), 0.0) AS {f}" if f != "unit" else "CAST(unit AS DOUBLE) AS unit_f" for f in FEATURE_COLS) + " FROM features)"
-SQL_FEATS = [f if f != "unit" else "unit_f" for f in FEATURE_COLS]
+TRAIN_SQL, SQL_FEATS = train_cte(FEATURE_COLS)
 _MODELS_CTE = FEATURES_CTE + "," + TRAIN_SQL + "," + ridge_cte("rg", "train", SQL_FEATS, "members", ALPHA) + "," + \
     logit_cte("lg", "train", SQL_FEATS, "losing", LOGIT_C)
 _X = "[" + ", ".join(f"CAST({f} AS DOUBLE)" for f in FEATURE_COLS) + "]"

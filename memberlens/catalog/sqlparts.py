@@ -117,3 +117,12 @@ def logit_cte(name: str, source: str, feats: list[str], y: str, C: float, steps:
     return out + f""",
 {name} AS MATERIALIZED (SELECT [""" + ", ".join(f"w[{i + 2}] / s{i}" for i in range(p - 1)) + "] AS w, w[1] - (" + \
         " + ".join(f"w[{i + 2}] / s{i} * m{i}" for i in range(p - 1)) + f") AS b FROM {name}_w{steps}, {name}_z_s)"
+
+
+def train_cte(feats: list[str]) -> tuple[str, list[str]]:
+    """CTE ``train``: the features as doubles, missing ones 0, ``members`` and ``losing`` (the unit lost
+    members); and the features' names there (``unit`` keeps its type, so it has another)."""
+    names = [f if f != "unit" else "unit_f" for f in feats]
+    cols = ", ".join(f"COALESCE(CAST({f} AS DOUBLE), 0.0) AS {n}" for f, n in zip(feats, names))
+    return f"""
+train AS MATERIALIZED (SELECT unit, period, CAST(members AS DOUBLE) AS members, CAST(leak_rate > 0 AS INTEGER) AS losing, {cols} FROM features)""", names

@@ -91,15 +91,20 @@ def _ridge_from_stats(n, sx, sy, xtx, xty, alpha):
 def ridge_fit(df: DataFrame, feats: list[str], y: str, alpha: float) -> DataFrame:
     """J2 + J21: ridge coefficients (raw and standardised) and intercept.
 
-    The p x p system is solved where it lands (driver); its size is set by
-    the feature count, not the data.
+    Features are scaled before their products are summed, so that no large sums
+    cancel; a missing feature counts as 0.  The p x p system is solved where it lands
+    (driver); its size is set by the feature count, not the data.
     """
-    s = gram_stats(df, feats, y)
-    w, b = _ridge_from_stats(s["n"], s["sx"], s["sy"], s["xtx"], s["xty"], alpha)
-    mu = s["sx"] / s["n"]
-    sd = np.sqrt(np.maximum(np.diag(s["xtx"]) / s["n"] - mu ** 2, 0.0))
-    rows = [(f, float(w[i]), float(w[i] * (sd[i] if sd[i] > 0 else 1.0))) for i, f in enumerate(feats)]
-    rows.append(("(intercept)", float(b), None))
+    x = {f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in feats}
+    st = df.agg(*[F.avg(c).alias(f"m_{f}") for f, c in x.items()], *[F.stddev_pop(c).alias(f"s_{f}") for f, c in x.items()]).first()
+    mu, sd = (np.array([st[f"{k}_{f}"] or 0.0 for f in feats]) for k in "ms")
+    sd = np.where(sd > 0, sd, 1.0)
+    z = df.select(F.col(y), *[((x[f] - float(mu[i])) / float(sd[i])).alias(f"_z{i}") for i, f in enumerate(feats)])
+    s = gram_stats(z, [f"_z{i}" for i in range(len(feats))], y)
+    wz, b = _ridge_from_stats(s["n"], s["sx"], s["sy"], s["xtx"], s["xty"], alpha)
+    w = wz / sd
+    rows = [(f, float(w[i]), float(wz[i])) for i, f in enumerate(feats)]
+    rows.append(("(intercept)", float(b - w @ mu), None))
     return df.sparkSession.createDataFrame(
         rows, "feature string, coefficient double, standardized_coefficient double")
 
