@@ -140,14 +140,15 @@ SELECT 0 AS batch_id, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE text IS NULL) /
        AVG(n_chars) AS mean_chars FROM documents""")
 def stream_ingest_profile(spark, sf_dir):
     """A12 + L8: micro-batch ingest of documents with per-batch row count,
-    missing ratio and mean length computed in ``foreachBatch`` (the SQL is for a
-    table of one file, which is one batch)."""
+    missing ratio (NaN without rows) and mean length computed in ``foreachBatch``
+    (the SQL is for a table of one file, which is one batch)."""
     s = ST.table_stream(spark, sf_dir, "documents", max_files=1)
     path = ST.scratch_path(spark, "ingest")
 
     def sink(batch, batch_id):
-        batch.agg(F.lit(batch_id).alias("batch_id"), F.count(F.lit(1)).alias("n_rows"),
-                  (F.count_if(F.col("text").isNull()) / F.count(F.lit(1))).alias("missing_ratio"),
+        n = F.count(F.lit(1))
+        batch.agg(F.lit(batch_id).alias("batch_id"), n.alias("n_rows"),
+                  F.when(n > 0, F.count_if(F.col("text").isNull()) / n).otherwise(F.lit(float("nan"))).alias("missing_ratio"),
                   F.avg("n_chars").alias("mean_chars")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     q = s.writeStream.foreachBatch(sink).option("checkpointLocation", path + "-ckpt") \

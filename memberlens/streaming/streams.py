@@ -1,7 +1,7 @@
 """L (stream form) and A12: the same operators on Structured Streaming.
 
-* Sources are file streams over a table folder (``pathGlobFilter`` picks the
-  table); timestamps are cast to ``timestamp`` and watermarked (Q21).
+* Sources are file streams over a table, be it one file (``pathGlobFilter``
+  picks it) or a folder of files; timestamps are cast to ``timestamp`` and watermarked (Q21).
 * Windowed metrics reuse the batch functions of ``operators.monitoring``
   unchanged; they run in ``update`` mode into a ``foreachBatch`` sink that
   appends (batch id, rows), and the result is the last version per key.
@@ -34,12 +34,19 @@ from ..session import ensure_checkpoint_dir
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """File stream over one table of a folder with the batch schema."""
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """File stream over one table, a file or a folder of files, with the batch schema.
+
+    A file stream reads a folder: that of a table, or for a table of one file the
+    folder it lies in, of which the glob picks that file.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def folder_stream(spark: SparkSession, path: str, schema, max_files: int | None = 1) -> DataFrame:

@@ -231,3 +231,22 @@ def test_chain_of_an_empty_stream_is_empty(spark):
     spark.createDataFrame([], EVALS).withColumn("eval_time", F.col("eval_time").cast("timestamp")).write.parquet(path)
     s = ST.folder_stream(spark, path, spark.read.parquet(path).schema).withWatermark("eval_time", "1 hour")
     assert AC.run_chain(AC.notifications(AC.lifecycle(s, 3600), {}, ("log-receiver", 60)), "t-none-out").count() == 0
+
+
+def test_streams_read_tables_of_several_files(spark, tmp_path):
+    """A table may be a folder of files: its streams read all of them, one batch a file where asked."""
+    from memberlens.catalog import QUERIES
+    one, many = SF_SMALL, str(tmp_path)
+    docs = spark.read.parquet(f"{one}/documents.parquet")
+    docs.repartition(3, "doc_id").write.parquet(f"{many}/documents.parquet")
+    docs.limit(0).coalesce(1).write.mode("append").parquet(f"{many}/documents.parquet")      # and a file without rows
+    for t in ("events", "customer", "orders"):
+        spark.read.parquet(f"{one}/{t}.parquet").repartition(3).write.parquet(f"{many}/{t}.parquet")
+    got = QUERIES["stream_ingest_profile"](spark, many).collect()
+    assert sorted(r.batch_id for r in got) == [0, 1, 2, 3] and sum(r.n_rows for r in got) == docs.count()
+    assert [r.mean_chars for r in got if not r.n_rows] == [None] and all(r.missing_ratio != r.missing_ratio for r in got if not r.n_rows)
+    whole = QUERIES["stream_ingest_profile"](spark, one).first()
+    assert abs(sum(r.n_rows * (r.mean_chars or 0.0) for r in got) / whole.n_rows - whole.mean_chars) < 1e-4
+    for q in ("stream_request_counts", "stream_score", "stream_silence_gaps"):
+        a, b = (sorted(map(str, QUERIES[q](spark, d).collect())) for d in (one, many))
+        assert a and a == b, q
