@@ -500,7 +500,7 @@ def bisecting_kmeans(spark, sf_dir):
 @query("gmm_ic")
 def gmm_ic(spark, sf_dir):
     """GMM log-likelihood, BIC and AIC for k = 2..4 on the unit profile."""
-    up = D.unit_profile(load_panel(spark, sf_dir))
+    up = cut_lineage(D.unit_profile(load_panel(spark, sf_dir)))
     z = ML.pop_scale(up, ["avg_variation", "cv_members"], suffix="__z").na.fill(0.0)
     n = z.count()
     rows = []
@@ -518,9 +518,9 @@ def gmm_variants(spark, sf_dir):
     """Mixtures with full (Spark ML), tied, diagonal and spherical
     covariance on the scaled unit profile: log-likelihood, BIC, AIC and the
     number of non-empty clusters."""
-    up = D.unit_profile(load_panel(spark, sf_dir))
+    up = cut_lineage(D.unit_profile(load_panel(spark, sf_dir)))
     feats = ["avg_variation__z", "cv_members__z"]
-    z = ML.pop_scale(up, ["avg_variation", "cv_members"], suffix="__z").na.fill(0.0).select("unit", *feats).cache()
+    z = ML.pop_scale(up, ["avg_variation", "cv_members"], suffix="__z").na.fill(0.0).select("unit", *feats)
     n = z.count()
     m, out = ML.gmm(z, feats, 3)
     full = ML.gmm_ic(m, n, 2)

@@ -215,3 +215,12 @@ def test_gmm_em_variants_recover_separated_blobs(spark):
         groups = [set(lab[i * 40:(i + 1) * 40]) for i in range(3)]
         assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3, cov
         assert info["bic"] > 0 and np.isfinite(info["log_likelihood"])
+
+
+def test_mixtures_pass_over_as_many_partitions_as_their_rows_need(spark):
+    """However many partitions the shuffles before a fit have, each of its passes is over few."""
+    df = spark.createDataFrame([(i, float(i % 2 * 9 + i % 5), float(i % 3)) for i in range(60)], "id int, x double, y double").repartition(64)
+    _, out = ML.gmm(df, ["x", "y"], 2)
+    assert out.rdd.getNumPartitions() == 1 and out.count() == 60
+    scored, _ = ML.gmm_em(df, ["x", "y"], 2)
+    assert scored.rdd.getNumPartitions() == 1 and scored.count() == 60
