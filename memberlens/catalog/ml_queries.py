@@ -380,7 +380,7 @@ def gbt_fit(spark, sf_dir):
 
 
 def _unit_profile(spark, sf_dir):
-    return D.unit_profile(load_panel(spark, sf_dir))
+    return cut_lineage(D.unit_profile(load_panel(spark, sf_dir)))     # scaler and fits read it again
 
 
 _CLU_FEATS = ["avg_variation", "cv_members"]

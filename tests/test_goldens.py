@@ -224,3 +224,22 @@ def test_mixtures_pass_over_as_many_partitions_as_their_rows_need(spark):
     assert out.rdd.getNumPartitions() == 1 and out.count() == 60
     scored, _ = ML.gmm_em(df, ["x", "y"], 2)
     assert scored.rdd.getNumPartitions() == 1 and scored.count() == 60
+
+
+def test_kmeans_restarts_compute_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    df = spark.createDataFrame([(i, float(i % 2 * 9 + i % 5), float(i % 3)) for i in range(60)], "id int, x double, y double").repartition(8)
+    _, out = ML.kmeans(df.mapInPandas(count, df.schema), ["x", "y"], 2, n_init=4)
+    assert out.count() == 60 and out.select("prediction").distinct().count() == 2 and seen.value == 60
+
+
+def test_kmeans_profile_reads_the_panel_once(spark):
+    from memberlens.catalog import QUERIES
+    from .conftest import SF_SMALL
+    out = QUERIES["kmeans_profile"](spark, SF_SMALL)
+    assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString() and out.agg(F.sum("n")).first()[0] == 25
